@@ -614,7 +614,8 @@ def query_keywords(spark, sf):
 
 def match_excerpts(spark, sf):
     docs, one = documents(spark, sf), batch(spark)
-    return excerpts(docs, one, od.page(rk.rank_wordcount(docs, one)), around=5)
+    best = od.page(rk.rank_wordcount(docs, one), limit=20)
+    return excerpts(docs, one, best, around=5, rows=20 * one.queries)
 
 
 QUERIES: dict[str, Query] = {

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from wordloom.sizing import hint, join_by_term, measure
+from wordloom.sizing import BROADCAST_ROWS, hint, measure
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
-from wordloom.sources.tokens import positions
-
-FIELD_SHIFT = 32
 
 
 def keywords(corpus: Corpus, batch: QueryBatch) -> DataFrame:
@@ -25,40 +22,47 @@ def keywords(corpus: Corpus, batch: QueryBatch) -> DataFrame:
     )
 
 
+def _first_spot(words: Column) -> Column:
+    """Position, from 1, of the first of the query words in ``list``; null without one."""
+    spots = F.transform("list", lambda term: F.array_position(words, term))
+    return F.array_min(F.filter(spots, lambda spot: spot > 0))
+
+
 def excerpts(
-    corpus: Corpus, batch: QueryBatch, matches: DataFrame, around: int = 5
+    corpus: Corpus,
+    batch: QueryBatch,
+    matches: DataFrame,
+    around: int = 5,
+    rows: int | None = None,
 ) -> DataFrame:
     """For each match the words around its first hit: query_id, keys, field, pos, excerpt.
 
     The first hit is the lowest position of the first field that has one. Matches
-    are a page of results; when measured small they are broadcast, so the corpus is
-    scanned in place and only matching documents are split into word rows.
+    are a page of results, of at most ``rows`` rows; when that bound (or else their
+    measured size) is small they are broadcast and the corpus is scanned in place.
+    Each match then finds its first hit in its own word lists.
     """
     keys = list(corpus.keys)
+    small = rows <= BROADCAST_ROWS if rows is not None else measure(matches).small
     wanted = matches.select("query_id", *keys)
-    small = measure(wanted).small
-    documents = corpus.lists.select(*keys, "words", "doc_len")
-    needed = hint(wanted.select(*keys).distinct(), small)
-    kept = documents.join(needed, keys, "left_semi")
-    found = Corpus(kept, corpus.fields, (), corpus.name, corpus.keys, prepared=True)
-    hits = join_by_term(positions(found), batch.lead_terms.select("query_id", "term"), batch.small, keys)
-    place = F.shiftleft(F.col("field_no").cast("bigint"), FIELD_SHIFT) + F.col("pos")
-    first = hits.where(F.col("pos").isNotNull()).groupBy("query_id", *keys).agg(
-        F.min(place).alias("place")
-    )
-    first = first.join(hint(wanted, small), ["query_id", *keys], "left_semi")
-    field_no = F.shiftright("place", FIELD_SHIFT).cast("int")
-    pos = F.col("place").bitwiseAND((1 << FIELD_SHIFT) - 1).cast("int")
-    spots = first.select("query_id", *keys, field_no.alias("field_no"), pos.alias("pos"))
-    start = F.greatest(F.col("pos") - around, F.lit(0))
-    length = F.col("pos") + around + 1 - start
-    names = F.array(*[F.lit(f) for f in corpus.fields])
-    return kept.join(hint(spots, small), keys).select(
+    documents = corpus.lists.select(*keys, "words")
+    found = documents.join(hint(wanted, small), keys)
+    found = found.join(hint(batch.info.select("query_id", "list"), batch.small), "query_id")
+    places = []
+    for i, field in enumerate(corpus.fields):
+        words = F.col("words")[i]
+        first = _first_spot(words)
+        place = F.struct(
+            F.lit(field).alias("field"), (first - 1).cast("int").alias("pos"), words.alias("text")
+        )
+        places.append(F.when(first.isNotNull(), place))
+    found = found.select("query_id", *keys, F.coalesce(*places).alias("hit"))
+    start = F.greatest(F.col("hit.pos") - around, F.lit(0))
+    length = F.col("hit.pos") + around + 1 - start
+    return found.where(F.col("hit").isNotNull()).select(
         "query_id",
         *keys,
-        names[F.col("field_no")].alias("field"),
-        "pos",
-        F.array_join(F.slice(F.col("words")[F.col("field_no")], start + 1, length), " ").alias(
-            "excerpt"
-        ),
+        F.col("hit.field").alias("field"),
+        F.col("hit.pos").alias("pos"),
+        F.array_join(F.slice(F.col("hit.text"), start + 1, length), " ").alias("excerpt"),
     )

@@ -1,8 +1,9 @@
 """Ranking factors of each (query, document), from one pass over the words.
 
-Word rows that join a query are shuffled once. With runs wanted, that shuffle is by
-(query, document) and both groupings that follow (by alignment and by query word)
-are local to it; without runs, counts per query word are combined before the shuffle.
+Word rows that join a query are shuffled by (query, document) at most once as they
+are: with runs wanted, both groupings that follow (by alignment and by query word) are
+local to that shuffle. Without runs everything is combined before the shuffle: plain
+counts into one row per (query, document), BM25 into one per query word first.
 """
 
 from __future__ import annotations
@@ -127,6 +128,8 @@ def factors(
     tf = [F.count_if(F.col("field_no") == i).alias(f"tf_{i}") for i in n_fields]
     fixed = [F.max(c).alias(c) for c in constants]
 
+    if not runs and not scored and batch.fits_mask:
+        return _counts(corpus, hits, group)
     if runs:
         # One copy of a hit for its alignment, one for its word (first occurrence only).
         null = F.lit(None).cast("int")
@@ -173,15 +176,33 @@ def factors(
                 F.coalesce(F.max((opens & has_first).cast("int")), F.lit(0)).alias(f"head_{i}"),
                 F.coalesce(F.max((opens & full).cast("int")), F.lit(0)).alias(f"exact_{i}"),
             ]
-    result = level.groupBy(*group).agg(*measures)
-    mask = _total([F.when(F.col(f"terms_{i}") > 0, F.lit(1 << i)).otherwise(0) for i in n_fields])
-    result = result.withColumn("field_mask", mask.cast("bigint"))
+    result = _with_mask(level.groupBy(*group).agg(*measures), corpus)
     if runs:
         best = [F.col(f"lcs_{i}") for i in n_fields]
         result = result.withColumn("best_run", F.greatest(*best) if len(best) > 1 else best[0])
     return result
 
 
+def _with_mask(df: DataFrame, corpus: Corpus) -> DataFrame:
+    """``df`` plus field_mask: bit i is set when field i holds a query word."""
+    n_fields = range(len(corpus.fields))
+    mask = _total([F.when(F.col(f"terms_{i}") > 0, F.lit(1 << i)).otherwise(0) for i in n_fields])
+    return df.withColumn("field_mask", mask.cast("bigint"))
+
+
+def _counts(corpus: Corpus, hits: DataFrame, group: list[str]) -> DataFrame:
+    """Counting factors in one aggregate: the words met are bits of a number."""
+    word = F.expr("shiftleft(1L, qpos)")
+    measures = [F.max(c).alias(c) for c in ("qlen", "n_terms", "doc_len")]
+    measures.append(F.bit_count(F.bit_or(word)).cast("bigint").alias("matched_terms"))
+    for i in range(len(corpus.fields)):
+        here = F.col("field_no") == i
+        met = F.bit_count(F.bit_or(F.when(here, word)))
+        measures.append(F.count_if(here).alias(f"hits_{i}"))
+        measures.append(F.coalesce(met, F.lit(0)).cast("bigint").alias(f"terms_{i}"))
+    return _with_mask(hits.groupBy(*group).agg(*measures), corpus)
+
+
 def minor(score: Column) -> Column:
     """A score cut to 32 bits, to sit below a major factor in one bigint."""
     return F.least(score, F.lit(WEIGHT_BOUND))
