@@ -1,9 +1,10 @@
 """Ranking factors of each (query, document), from one pass over the words.
 
-Word rows that join a query are shuffled by (query, document) at most once as they
-are: with runs wanted, both groupings that follow (by alignment and by query word) are
-local to that shuffle. Without runs everything is combined before the shuffle: plain
-counts into one row per (query, document), BM25 into one per query word first.
+Everything is combined before a shuffle; no word row is moved as it is. Counts alone
+take one aggregate by (query, document). BM25 first counts each word per document, so a
+word that many queries share is counted once, and joins the queries after that. Runs
+need positions, but only of words that follow the word they follow in the query: all
+other words make runs of one, which the counts already show.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from wordloom.sources.tokens import MARKER, doc_terms, positions
 K1 = 1.2
 B = 0.75
 SCALE = 1_000_000
+# Up to this many queries, counting a shared word once per query costs less than a shuffle.
+FEW_QUERIES = 16
 
 
 def _total(columns: list[Column]) -> Column:
@@ -53,7 +56,7 @@ def with_idf(corpus: Corpus, batch: QueryBatch) -> DataFrame:
     total = F.max(F.when(is_marker, F.col("words"))).over(query).cast("double")
     found = F.coalesce("docs", F.lit(0)).cast("double")
     return joined.select(
-        *["query_id", "qpos", "term", "first_qpos", "qlen", "n_terms"],
+        *["query_id", "qpos", "term", "first_qpos", "before", "qlen", "n_terms"],
         F.log(1.0 + (docs - found + 0.5) / (found + 0.5)).alias("idf"),
         (total / docs).alias("avg_len"),
     ).where(~is_marker)
@@ -66,34 +69,33 @@ def _bm25_term(tf: Column, k1: float, b: float) -> Column:
     return F.round(score * SCALE).cast("bigint")
 
 
-def _longest_run(batch: QueryBatch) -> tuple[Column, Column, Column]:
-    """How the query positions of one alignment are kept, their longest run, the first's presence.
+def _longest_run(batch: QueryBatch, linked: Column) -> tuple[Column, Column]:
+    """How the linked query positions of one alignment are kept, and the run they make.
 
-    A position occurs at most once per alignment. Up to 62 positions are bits of a
-    number and the longest run of ones is read off its binary text; longer queries
-    keep the list of positions and count through it in order.
+    A position occurs at most once per alignment, and a run of n words links n - 1.
+    Up to 62 positions are bits of a number and the longest row of ones is read off
+    its binary text; longer queries keep the positions and count through them.
     """
     if batch.fits_mask:
-        mask = F.bit_or(F.expr("shiftleft(1L, qpos)"))
+        mask = F.bit_or(F.when(linked, F.expr("shiftleft(1L, qpos)")))
         bits = F.bin("spots")
-        longer = [F.contains(bits, F.lit("1" * n)).cast("int") for n in range(2, batch.max_len + 1)]
-        run = F.when(F.bit_count("spots") == 1, F.lit(1)).otherwise(
-            F.lit(1) + (_total(longer) if longer else F.lit(0))
+        longer = [F.contains(bits, F.lit("1" * n)).cast("int") for n in range(2, batch.max_len)]
+        run = (
+            F.when(F.col("spots").isNull(), F.lit(1))
+            .when(F.bit_count("spots") == 1, F.lit(2))
+            .otherwise(_total([F.lit(2), *longer]))
         )
-        return mask, run, F.col("spots").bitwiseAND(F.lit(1)) == 1
-    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+        return mask, run
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("row"), F.lit(0).alias("best"))
 
     def step(state: Column, spot: Column) -> Column:
-        run = F.when(state["last"] == spot - 1, state["run"] + 1).otherwise(F.lit(1))
+        row = F.when(state["last"] == spot - 1, state["row"] + 1).otherwise(F.lit(1))
         return F.struct(
-            spot.alias("last"), run.alias("run"), F.greatest(state["best"], run).alias("best")
+            spot.alias("last"), row.alias("row"), F.greatest(state["best"], row).alias("best")
         )
 
-    ordered = F.array_sort("spots")
-    run = F.when(F.size("spots") == 1, F.lit(1)).otherwise(
-        F.aggregate(ordered, start, step, lambda s: s["best"])
-    )
-    return F.collect_list(F.when(F.col("word").isNull(), F.col("qpos"))), run, F.array_contains("spots", 0)
+    best = F.aggregate(F.array_sort("spots"), start, step, lambda state: state["best"])
+    return F.collect_list(F.when(linked, F.col("qpos"))), best + 1
 
 
 def factors(
@@ -116,48 +118,19 @@ def factors(
     fields. With ``scored`` also bm25 in millionths, from the statistics of
     ``stats`` (the unfiltered corpus).
     """
-    n_fields = range(len(corpus.fields))
     group = ["query_id", *corpus.keys, *carry]
+    if not runs and not scored and batch.fits_mask and batch.queries <= FEW_QUERIES:
+        return _counts(corpus, batch, carry, group)
     terms = with_idf(stats or corpus, batch) if scored else batch.terms
-    if not runs:
-        terms = terms.where(F.col("qpos") == F.col("first_qpos"))
-    constants = ["doc_len", "qlen", "n_terms"] + (["idf", "avg_len"] if scored else [])
-    words = positions(corpus, carry)
-    hits = join_by_term(words, terms, batch.small, list(corpus.keys))
-    hits = hits.where(F.col("pos").isNotNull())
-    tf = [F.count_if(F.col("field_no") == i).alias(f"tf_{i}") for i in n_fields]
-    fixed = [F.max(c).alias(c) for c in constants]
-
-    if not runs and not scored and batch.fits_mask:
-        return _counts(corpus, hits, group)
+    fixed = ["qlen", "n_terms"] + (["idf", "avg_len"] if scored else [])
     if runs:
-        # One copy of a hit for its alignment, one for its word (first occurrence only).
-        null = F.lit(None).cast("int")
-        aligned = F.struct(
-            F.col("field_no").alias("at_field"),
-            (F.col("pos") - F.col("qpos")).alias("anchor"),
-            null.alias("word"),
-        )
-        counted = F.struct(null.alias("at_field"), null.alias("anchor"), F.col("qpos").alias("word"))
-        copies = F.when(F.col("qpos") == F.col("first_qpos"), F.array(aligned, counted))
-        placed = hits.repartition("query_id", *corpus.keys).select(
-            *group,
-            "field_no",
-            "field_len",
-            "qpos",
-            *constants,
-            F.inline_outer(copies.otherwise(F.array(aligned))),
-        )
-        spots, run, has_first = _longest_run(batch)
-        level = placed.groupBy(*group, "at_field", "anchor", "word").agg(
-            spots.alias("spots"), F.max("field_len").alias("field_len"), *tf, *fixed
-        )
+        level = _aligned(corpus, batch, terms, carry, group, fixed)
         is_word = F.col("word").isNotNull()
-        level = level.withColumn("run", F.when(~is_word, run))
     else:
-        level = hits.groupBy(*group, F.col("qpos").alias("word")).agg(*tf, *fixed)
+        level = _word_counts(corpus, batch, terms, carry)
         is_word = F.lit(True)
 
+    n_fields = range(len(corpus.fields))
     measures = [F.max(c).alias(c) for c in ("qlen", "n_terms", "doc_len")]
     measures.append(F.count_if(is_word).alias("matched_terms"))
     for i in n_fields:
@@ -169,20 +142,97 @@ def factors(
     if runs:
         for i in n_fields:
             here = F.col("at_field") == i
-            opens = here & (F.col("anchor") == 0)
             full = (F.col("run") == F.col("qlen")) & (F.col("field_len") == F.col("qlen"))
+            head = here & F.col("head")
             measures += [
-                F.coalesce(F.max(F.when(here, F.col("run"))), F.lit(0)).alias(f"lcs_{i}"),
-                F.coalesce(F.max((opens & has_first).cast("int")), F.lit(0)).alias(f"head_{i}"),
-                F.coalesce(F.max((opens & full).cast("int")), F.lit(0)).alias(f"exact_{i}"),
+                F.max(F.when(here, F.col("run"))).alias(f"lcs_{i}"),
+                F.coalesce(F.max(head.cast("int")), F.lit(0)).alias(f"head_{i}"),
+                F.coalesce(F.max((head & full).cast("int")), F.lit(0)).alias(f"exact_{i}"),
             ]
     result = _with_mask(level.groupBy(*group).agg(*measures), corpus)
     if runs:
-        best = [F.col(f"lcs_{i}") for i in n_fields]
+        met = {
+            f"lcs_{i}": F.when(F.col(f"terms_{i}") > 0, F.coalesce(f"lcs_{i}", F.lit(1))).otherwise(0)
+            for i in n_fields
+        }
+        result = result.withColumns(met)
+        best = [F.col(name) for name in met]
         result = result.withColumn("best_run", F.greatest(*best) if len(best) > 1 else best[0])
     return result
 
 
+def _tf(corpus: Corpus) -> list[Column]:
+    """Occurrences per field."""
+    return [F.count_if(F.col("field_no") == i).alias(f"tf_{i}") for i in range(len(corpus.fields))]
+
+
+def _word_counts(
+    corpus: Corpus, batch: QueryBatch, terms: DataFrame, carry: Sequence[str]
+) -> DataFrame:
+    """One row per (query, document, distinct word they share) with its counts."""
+    keys = list(corpus.keys)
+    vocabulary = terms.select("term").distinct()
+    words = join_by_term(positions(corpus, carry), vocabulary, batch.small, keys)
+    counted = words.groupBy(*keys, *carry, "term").agg(
+        *_tf(corpus), F.max("doc_len").alias("doc_len")
+    )
+    lead = terms.where(F.col("qpos") == F.col("first_qpos"))
+    return join_by_term(counted, lead, batch.small, keys)
+
+
+def _aligned(
+    corpus: Corpus,
+    batch: QueryBatch,
+    terms: DataFrame,
+    carry: Sequence[str],
+    group: list[str],
+    fixed: list[str],
+) -> DataFrame:
+    """Rows per (query, document) of two kinds.
+
+    One per distinct word (``word`` set) with its counts, and one per alignment of
+    the query in a field (``at_field`` set) with its longest run, for the alignments
+    that link two words or put the first query word at the start of the field.
+    """
+    words = positions(corpus, carry, previous=True)
+    hits = join_by_term(words, terms, batch.small, list(corpus.keys))
+    lead = F.col("qpos") == F.col("first_qpos")
+    opens = (F.col("pos") == 0) & (F.col("qpos") == 0)
+    hits = hits.withColumn(
+        "linked", F.coalesce(F.col("previous") == F.col("before"), F.lit(False))
+    )
+    null = F.lit(None).cast("int")
+    alignment = F.struct(
+        F.col("field_no").alias("at_field"),
+        (F.col("pos") - F.col("qpos")).alias("anchor"),
+        null.alias("word"),
+    )
+    word = F.struct(null.alias("at_field"), null.alias("anchor"), F.col("qpos").alias("word"))
+    aligned = F.col("linked") | opens
+    copies = (
+        F.when(lead & aligned, F.array(alignment, word))
+        .when(lead, F.array(word))
+        .otherwise(F.array(alignment))
+    )
+    placed = hits.where(lead | aligned).select(
+        *group,
+        *["field_no", "field_len", "doc_len", "pos", "qpos", "linked"],
+        *fixed,
+        F.inline_outer(copies),
+    )
+    linked = F.col("word").isNull() & F.col("linked")
+    spots, run = _longest_run(batch, linked)
+    level = placed.groupBy(*group, "at_field", "anchor", "word").agg(
+        spots.alias("spots"),
+        F.max("field_len").alias("field_len"),
+        F.max(opens).alias("head"),
+        F.max("doc_len").alias("doc_len"),
+        *_tf(corpus),
+        *[F.max(c).alias(c) for c in fixed],
+    )
+    return level.withColumn("run", F.when(F.col("word").isNull(), run))
+
+
 def _with_mask(df: DataFrame, corpus: Corpus) -> DataFrame:
     """``df`` plus field_mask: bit i is set when field i holds a query word."""
     n_fields = range(len(corpus.fields))
@@ -190,8 +240,13 @@ def _with_mask(df: DataFrame, corpus: Corpus) -> DataFrame:
     return df.withColumn("field_mask", mask.cast("bigint"))
 
 
-def _counts(corpus: Corpus, hits: DataFrame, group: list[str]) -> DataFrame:
+def _counts(
+    corpus: Corpus, batch: QueryBatch, carry: Sequence[str], group: list[str]
+) -> DataFrame:
     """Counting factors in one aggregate: the words met are bits of a number."""
+    hits = join_by_term(
+        positions(corpus, carry), batch.lead_terms, batch.small, list(corpus.keys)
+    )
     word = F.expr("shiftleft(1L, qpos)")
     measures = [F.max(c).alias(c) for c in ("qlen", "n_terms", "doc_len")]
     measures.append(F.bit_count(F.bit_or(word)).cast("bigint").alias("matched_terms"))

@@ -30,18 +30,25 @@ class QueryBatch:
     queries: int
 
     def words(self, marker: str | None = None) -> DataFrame:
-        """One row per query word: query_id, qpos, term, first_qpos, qlen, n_terms.
+        """One row per query word: query_id, qpos, term, first_qpos, before, qlen, n_terms.
 
-        ``first_qpos`` is the position of the first equal word of the query. With a
-        ``marker`` each query ends with that word.
+        ``first_qpos`` is the position of the first equal word of the query, ``before``
+        the word one position earlier. With a ``marker`` each query ends with that word.
         """
         listed = F.col("list") if marker is None else F.concat("list", F.array(F.lit(marker)))
         exploded = self.info.select(
             "query_id", "qlen", "n_terms", "list", F.posexplode_outer(listed).alias("qpos", "term")
         )
         first = (F.array_position("list", F.col("term")) - 1).cast("int")
+        before = F.get("list", F.col("qpos") - 1)
         return exploded.where(F.col("term").isNotNull()).select(
-            "query_id", "qpos", "term", first.alias("first_qpos"), "qlen", "n_terms"
+            "query_id",
+            "qpos",
+            "term",
+            first.alias("first_qpos"),
+            before.alias("before"),
+            "qlen",
+            "n_terms",
         )
 
     @property
@@ -76,8 +83,8 @@ def query_batch(queries: DataFrame) -> QueryBatch:
         F.size(F.array_distinct("list")).alias("n_terms"),
         "list",
     )
-    # Width of a row of ``terms``: six columns of 8 bytes, the row header and the word.
-    length = F.octet_length(F.array_join("list", "")) + 64 * F.col("qlen")
+    # Width of a row of ``terms``: six columns of 8 bytes, the row header and two words.
+    length = 2 * F.octet_length(F.array_join("list", "")) + 64 * F.col("qlen")
     row = info.agg(
         F.count(F.lit(1)), F.sum("qlen"), F.sum(length.cast("bigint")), F.max("qlen")
     ).first()

@@ -12,10 +12,13 @@ from wordloom.sources.corpus import Corpus
 MARKER = ""
 
 
-def positions(corpus: Corpus, carry: Sequence[str] = (), marker: bool = False) -> DataFrame:
+def positions(
+    corpus: Corpus, carry: Sequence[str] = (), marker: bool = False, previous: bool = False
+) -> DataFrame:
     """One row per word: keys, carried attributes, field_no, field_len, pos, term, doc_len.
 
-    With ``marker`` every document also has one row with the marker word. The
+    With ``previous`` also the word before it in the field, null for the first. With
+    ``marker`` every document also has one row with the marker word. The
     outer form of explode keeps Spark from adding a filter that would tokenise
     the text a second time; its null row for an empty list never joins a query.
     """
@@ -35,8 +38,14 @@ def positions(corpus: Corpus, carry: Sequence[str] = (), marker: bool = False) -
         extra = F.when(F.col("field_no") == 0, F.array(F.lit(MARKER)))
         extra = extra.otherwise(F.array().cast("array<string>"))
         one = one.withColumn("list", F.concat("list", extra))
-    return one.select(
-        *kept, "field_no", "field_len", F.posexplode_outer("list").alias("pos", "term")
+    kept += ["field_no", "field_len"]
+    if not previous:
+        return one.select(*kept, F.posexplode_outer("list").alias("pos", "term"))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), F.col("list"))
+    pairs = one.select(*kept, F.posexplode_outer(F.arrays_zip("list", shifted)).alias("pos", "pair"))
+    # The shifted list is one longer: its last pair has no word of its own.
+    return pairs.select(
+        *kept, "pos", F.col("pair")["list"].alias("term"), F.col("pair")["1"].alias("previous")
     )
 
 
