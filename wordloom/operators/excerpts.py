@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wordloom.sizing import BROADCAST_ROWS, hint, measure
+from wordloom.sizing import few, hint, measure
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
 
@@ -43,7 +43,7 @@ def excerpts(
     Each match then finds its first hit in its own word lists.
     """
     keys = list(corpus.keys)
-    small = rows <= BROADCAST_ROWS if rows is not None else measure(matches).small
+    small = few(rows) if rows is not None else measure(matches).small
     wanted = matches.select("query_id", *keys)
     documents = corpus.lists.select(*keys, "words")
     found = documents.join(hint(wanted, small), keys)

@@ -33,22 +33,28 @@ def _total(columns: list[Column]) -> Column:
     return result
 
 
-def with_idf(corpus: Corpus, batch: QueryBatch) -> DataFrame:
-    """Query words with the statistics of the whole corpus: idf and avg_len.
+def _document_counts(corpus: Corpus, batch: QueryBatch) -> DataFrame:
+    """(term, docs, words) of the query words: documents holding each, in one pass.
 
-    Each document contributes its distinct words and the marker word; the marker's
-    row yields the number of documents and of words, so one pass gives everything,
-    summed per word before the shuffle. Each query gets a marker row to pick the
-    totals up by the same join.
+    Each document gives its distinct words and the marker word, whose row so counts
+    all documents and sums their lengths. Sums are made per word before the shuffle.
     """
-    rows = batch.words(marker=MARKER)
+    wanted = batch.words(marker=MARKER).select("term").distinct()
     listed = doc_terms(corpus, marker=True)
-    wanted = rows.select("term").distinct()
-    counts = (
-        join_by_term(listed, wanted, batch.small, list(corpus.keys))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("docs"), F.sum("doc_len").alias("words"))
+    found = join_by_term(listed, wanted, batch.small, list(corpus.keys))
+    return found.groupBy("term").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("doc_len").alias("words")
     )
+
+
+def with_idf(batch: QueryBatch, counts: DataFrame) -> DataFrame:
+    """Query words with idf and avg_len from the document counts of the whole corpus.
+
+    Each query carries the marker word too and so picks up the totals by the same
+    join. The marker is then dropped by position: a filter on the word would be
+    passed on to the other side of later joins and make its plan differ.
+    """
+    rows = batch.words(marker=MARKER)
     joined = rows.join(hint(counts, batch.small), "term", "left")
     query = Window.partitionBy("query_id")
     is_marker = F.col("term") == MARKER
@@ -59,7 +65,7 @@ def with_idf(corpus: Corpus, batch: QueryBatch) -> DataFrame:
         *["query_id", "qpos", "term", "first_qpos", "before", "qlen", "n_terms"],
         F.log(1.0 + (docs - found + 0.5) / (found + 0.5)).alias("idf"),
         (total / docs).alias("avg_len"),
-    ).where(~is_marker)
+    ).where(F.col("qpos") < F.col("qlen"))
 
 
 def _bm25_term(tf: Column, k1: float, b: float) -> Column:
@@ -116,18 +122,28 @@ def factors(
     (longest run of query words in order and adjacent), head_i (the first query
     word opens the field), exact_i (the field is the query) and best_run over the
     fields. With ``scored`` also bm25 in millionths, from the statistics of
-    ``stats`` (the unfiltered corpus).
+    ``stats`` (the unfiltered corpus; none when ``corpus`` is it).
     """
     group = ["query_id", *corpus.keys, *carry]
     if not runs and not scored and batch.fits_mask and batch.queries <= FEW_QUERIES:
         return _counts(corpus, batch, carry, group)
-    terms = with_idf(stats or corpus, batch) if scored else batch.terms
     fixed = ["qlen", "n_terms"] + (["idf", "avg_len"] if scored else [])
+    words = None if runs else _word_counts(corpus, batch, carry)
+    if not scored:
+        terms = batch.terms
+    elif words is not None and stats is None:
+        # The same shuffled counts serve the statistics, so the texts are read once.
+        met = F.count_if(_total([F.col(f"tf_{i}") for i in range(len(corpus.fields))]) > 0)
+        counts = words.groupBy("term").agg(met.alias("docs"), F.sum("doc_len").alias("words"))
+        terms = with_idf(batch, counts)
+    else:
+        terms = with_idf(batch, _document_counts(stats or corpus, batch))
     if runs:
         level = _aligned(corpus, batch, terms, carry, group, fixed)
         is_word = F.col("word").isNotNull()
     else:
-        level = _word_counts(corpus, batch, terms, carry)
+        lead = terms.where(F.col("qpos") == F.col("first_qpos"))
+        level = join_by_term(words, lead, batch.small, list(corpus.keys))
         is_word = F.lit(True)
 
     n_fields = range(len(corpus.fields))
@@ -166,18 +182,14 @@ def _tf(corpus: Corpus) -> list[Column]:
     return [F.count_if(F.col("field_no") == i).alias(f"tf_{i}") for i in range(len(corpus.fields))]
 
 
-def _word_counts(
-    corpus: Corpus, batch: QueryBatch, terms: DataFrame, carry: Sequence[str]
-) -> DataFrame:
-    """One row per (query, document, distinct word they share) with its counts."""
+def _word_counts(corpus: Corpus, batch: QueryBatch, carry: Sequence[str]) -> DataFrame:
+    """One row per document and distinct word of any query, and the marker, with counts."""
     keys = list(corpus.keys)
-    vocabulary = terms.select("term").distinct()
-    words = join_by_term(positions(corpus, carry), vocabulary, batch.small, keys)
-    counted = words.groupBy(*keys, *carry, "term").agg(
+    vocabulary = batch.words(marker=MARKER).select("term").distinct()
+    words = join_by_term(positions(corpus, carry, marker=True), vocabulary, batch.small, keys)
+    return words.groupBy(*keys, *carry, "term").agg(
         *_tf(corpus), F.max("doc_len").alias("doc_len")
     )
-    lead = terms.where(F.col("qpos") == F.col("first_qpos"))
-    return join_by_term(counted, lead, batch.small, keys)
 
 
 def _aligned(

@@ -15,7 +15,7 @@ from wordloom.operators.grouping import GROUP_SORT, group_by, page_groups
 from wordloom.operators.matching import match_fullscan
 from wordloom.operators.ordering import Order, cutoff, page, relevance
 from wordloom.operators.ranking import Weights, apply_index_weights, ranked
-from wordloom.sizing import BROADCAST_ROWS, hint, measure
+from wordloom.sizing import checkpointed, few, hint, measure
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
 
@@ -51,7 +51,7 @@ def result_matches(
     """
     missing = [a for a in corpus.attrs if a not in best.columns]
     if missing:
-        small = rows <= BROADCAST_ROWS if rows is not None else measure(best).small
+        small = few(rows) if rows is not None else measure(best).small
         documents = corpus.df.select(*corpus.keys, *missing)
         best = documents.join(hint(best, small), list(corpus.keys))
     front = ["query_id", "rank", *corpus.keys, "weight"]
@@ -145,7 +145,7 @@ def search(
             field_weights,
             rank_expr,
             () if by_clause else carried,
-            stats=corpus,
+            stats=corpus if early or id_range != (0, 0) else None,
         )
         if by_clause:
             select_by = match_boolean if mode == "boolean" else match_extended
@@ -160,7 +160,7 @@ def search(
         matches = override(matches, attr, values, corpus.keys)
     matches = cutoff(apply_filters(matches, late), cutoff_at, corpus.keys)
     if keep:
-        matches = matches.checkpoint()
+        matches = checkpointed(matches)
 
     bound = max_matches or DEFAULT_MAX_MATCHES
     if group is not None:

@@ -23,7 +23,12 @@ class Size:
 
     @property
     def small(self) -> bool:
-        return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
+        return few(self.rows) and self.bytes <= BROADCAST_BYTES
+
+
+def few(rows: int) -> bool:
+    """Whether a proven bound on the rows of a narrow table allows a broadcast."""
+    return rows <= BROADCAST_ROWS
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -73,6 +78,18 @@ def join_by_term(
     return salted.join(repeated, ["term", "salt"]).drop("salt")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that losing an executor does
+    not repeat what came before. The folder is the session's ``spark.checkpoint.dir``."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def fan_in(df: DataFrame, k: int) -> int:
     """How many slices a per-group top-k is cut into before the final one.
 
