@@ -37,9 +37,10 @@ ALIGNED = ("phrase", "start", "end")
 class ClauseBatch:
     """Clauses split into words: one row per clause word, measured for broadcast.
 
-    ``terms`` has query_id, clause, kind, op, n, field, qpos, term, first_qpos, len
-    (words), need (distinct words that make the clause hold) and wanted (clauses of
-    the query that must hold). ``ops`` are the operators in use.
+    ``terms`` has query_id, clause, kind, op, n, field, qpos, term, first_qpos, before
+    (the word one position earlier), len (words), need (distinct words that make the
+    clause hold) and wanted (clauses of the query that must hold). ``ops`` are the
+    operators in use.
     """
 
     terms: DataFrame
@@ -87,8 +88,11 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
     exploded = lists.withColumn("wanted", wanted.cast("int")).select(
         "*", F.posexplode_outer("list").alias("qpos", "term")
     )
-    terms = exploded.withColumn(
-        "first_qpos", (F.array_position("list", F.col("term")) - 1).cast("int")
+    terms = exploded.withColumns(
+        {
+            "first_qpos": (F.array_position("list", F.col("term")) - 1).cast("int"),
+            "before": F.get("list", F.col("qpos") - 1),
+        }
     ).drop("list")
     row = terms.agg(
         F.count(F.lit(1)),
@@ -159,24 +163,30 @@ def match_extended(
 ) -> DataFrame:
     """(query_id, keys, carried attributes) for clauses of every operator.
 
-    Word rows that join a clause are shuffled once by (query, document); alignments,
-    spans, clauses and queries are then decided without another shuffle.
+    A phrase of several words needs only the words that follow the word they follow
+    in the clause; other operators need each distinct word. These rows are combined
+    before the shuffle. With a 'near' clause, whose spans need every position, they
+    are shuffled by (query, document) once and all later steps are local to that.
     """
     names = F.array(*[F.lit(f) for f in corpus.fields])
-    hits = join_by_term(
-        positions(corpus, carry, marker=True), clauses.terms, clauses.small, list(corpus.keys)
-    )
+    words = positions(corpus, carry, marker=True, previous=True)
+    hits = join_by_term(words, clauses.terms, clauses.small, list(corpus.keys))
     in_field = F.col("field").isNull() | (F.col("field") == names[F.col("field_no")])
-    hits = hits.where(F.col("pos").isNotNull() & in_field)
-    # Only aligned operators look at repeated words of a clause one by one.
-    hits = hits.where(F.col("op").isin(*ALIGNED) | (F.col("qpos") == F.col("first_qpos")))
-    hits = hits.repartition("query_id", *corpus.keys)
+    aligned = F.col("op").isin(*ALIGNED)
+    near = F.col("op") == "near"
+    single = F.col("len") == 1
+    linked = F.coalesce(F.col("previous") == F.col("before"), F.lit(False))
+    lead = F.col("qpos") == F.col("first_qpos")
+    kept = F.when(aligned, single | linked).otherwise(lead)
+    hits = hits.where(F.col("pos").isNotNull() & in_field & kept)
     found_by = ["query_id", *corpus.keys, *carry]
     clause = [*found_by, "clause", "kind", "op", "wanted"]
 
-    aligned = F.col("op").isin(*ALIGNED)
-    near = F.col("op") == "near"
-    hits = hits.withColumn("within", _within(corpus, near) if "near" in clauses.ops else F.lit(0))
+    if "near" in clauses.ops:
+        hits = hits.repartition("query_id", *corpus.keys)
+        hits = hits.withColumn("within", _within(corpus, near))
+    else:
+        hits = hits.withColumn("within", F.lit(0))
     # The unit a row proves: an alignment, a field's spans, or a word of the clause.
     anchor = F.col("pos") - F.col("qpos")
     units = hits.withColumns(
@@ -192,7 +202,7 @@ def match_extended(
         F.max("len").alias("len"),
         F.max("need").alias("need"),
     )
-    whole = F.col("n_hits") == F.col("len")
+    whole = F.col("n_hits") == F.when(single, F.lit(1)).otherwise(F.col("len") - 1)
     opens = F.col("unit") == 0
     closes = F.col("unit") + F.col("len") == F.col("field_len")
     ok = (
