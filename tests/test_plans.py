@@ -31,11 +31,18 @@ def test_default_search(spark):
     assert "SortMergeJoin" not in text
 
 
-def test_bm25_reads_the_texts_once(spark):
-    text = final_plan(rq.bm25(spark, SF))
-    final = text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
-    assert final.count("FileScan parquet") == 1
-    assert "ReusedExchange" in final
+SCORED = ["d1_proximity_bm25", "d2_bm25", "d2_bm25_benchmark", "d8_boosted_proximity"]
+SCORED += ["d9_expr", "e1_relevance", "j1_batch_search", "j1_default_search"]
+
+
+@pytest.mark.parametrize("name", SCORED)
+def test_scoring_splits_the_texts_once(spark, name):
+    """Statistics and ranking share one shuffle of counted words."""
+    text = final_plan(rq.QUERIES[name](spark, SF))
+    final = text[: text.index("== Initial Plan ==")]
+    counted = [line for line in final.splitlines() if "hashpartitioning(doc_id" in line]
+    assert len([line for line in counted if "ReusedExchange" not in line]) == 1
+    assert len([line for line in counted if "ReusedExchange" in line]) == 1
 
 
 def test_filters_reach_the_scan(spark):

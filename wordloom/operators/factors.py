@@ -1,10 +1,14 @@
 """Ranking factors of each (query, document), from one pass over the words.
 
 Everything is combined before a shuffle; no word row is moved as it is. Counts alone
-take one aggregate by (query, document). BM25 first counts each word per document, so a
-word that many queries share is counted once, and joins the queries after that. Runs
-need positions, but only of words that follow the word they follow in the query: all
-other words make runs of one, which the counts already show.
+take one aggregate by (query, document). Otherwise each query word is first counted per
+document, once however many queries share it, and the counts join the queries after
+that. Runs need positions, but only of words that follow the word they follow in the
+query: all other words make runs of one, which the counts already show.
+
+The statistics of BM25 come from the same shuffled counts, so the texts are split once.
+Spark shares that shuffle only when both uses ask for the same columns and filters of
+it; comments below say where that shapes the code.
 """
 
 from __future__ import annotations
@@ -75,23 +79,25 @@ def _bm25_term(tf: Column, k1: float, b: float) -> Column:
     return F.round(score * SCALE).cast("bigint")
 
 
-def _longest_run(batch: QueryBatch, linked: Column) -> tuple[Column, Column]:
-    """How the linked query positions of one alignment are kept, and the run they make.
+def _longest_run(batch: QueryBatch, linked: Column) -> tuple[Column, Column, Column]:
+    """How the linked query positions of one alignment are kept, the run they make, and
+    whether there are none.
 
     A position occurs at most once per alignment, and a run of n words links n - 1.
     Up to 62 positions are bits of a number and the longest row of ones is read off
     its binary text; longer queries keep the positions and count through them.
     """
+    spots = F.col("spots")
     if batch.fits_mask:
         mask = F.bit_or(F.when(linked, F.expr("shiftleft(1L, qpos)")))
-        bits = F.bin("spots")
+        bits = F.bin(spots)
         longer = [F.contains(bits, F.lit("1" * n)).cast("int") for n in range(2, batch.max_len)]
         run = (
-            F.when(F.col("spots").isNull(), F.lit(1))
-            .when(F.bit_count("spots") == 1, F.lit(2))
+            F.when(spots.isNull(), F.lit(1))
+            .when(F.bit_count(spots) == 1, F.lit(2))
             .otherwise(_total([F.lit(2), *longer]))
         )
-        return mask, run
+        return mask, run, spots.isNull()
     start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("row"), F.lit(0).alias("best"))
 
     def step(state: Column, spot: Column) -> Column:
@@ -100,8 +106,8 @@ def _longest_run(batch: QueryBatch, linked: Column) -> tuple[Column, Column]:
             spot.alias("last"), row.alias("row"), F.greatest(state["best"], row).alias("best")
         )
 
-    best = F.aggregate(F.array_sort("spots"), start, step, lambda state: state["best"])
-    return F.collect_list(F.when(linked, F.col("qpos"))), best + 1
+    best = F.aggregate(F.array_sort(spots), start, step, lambda state: state["best"])
+    return F.collect_list(F.when(linked, F.col("qpos"))), best + 1, F.size(spots) == 0
 
 
 def factors(
@@ -109,6 +115,7 @@ def factors(
     batch: QueryBatch,
     runs: bool,
     scored: bool,
+    ends: bool = False,
     carry: Sequence[str] = (),
     stats: Corpus | None = None,
     k1: float = K1,
@@ -119,60 +126,72 @@ def factors(
     Columns: query_id, keys, carried attributes, qlen, n_terms, doc_len,
     matched_terms, field_mask, and per field i: hits_i (occurrences of query
     words), terms_i (distinct query words). With ``runs`` also per field lcs_i
-    (longest run of query words in order and adjacent), head_i (the first query
-    word opens the field), exact_i (the field is the query) and best_run over the
-    fields. With ``scored`` also bm25 in millionths, from the statistics of
-    ``stats`` (the unfiltered corpus; none when ``corpus`` is it).
+    (longest run of query words in order and adjacent) and best_run over the fields;
+    with ``ends`` besides head_i (the first query word opens the field) and exact_i
+    (the field is the query). With ``scored`` also bm25 in millionths, from the
+    statistics of ``stats`` (the unfiltered corpus; none when ``corpus`` is it).
     """
     group = ["query_id", *corpus.keys, *carry]
     if not runs and not scored and batch.fits_mask and batch.queries <= FEW_QUERIES:
         return _counts(corpus, batch, carry, group)
-    fixed = ["qlen", "n_terms"] + (["idf", "avg_len"] if scored else [])
-    words = None if runs else _word_counts(corpus, batch, carry)
+    n_fields = range(len(corpus.fields))
+    met = _total([F.col(f"tf_{i}") for i in n_fields])
+    if runs:
+        counted, run, unlinked = _words_and_alignments(corpus, batch, carry, ends)
+        # No alignment passes these tests, which touch all its columns and no key.
+        is_count = unlinked & (met > 0)
+        if ends:
+            is_count &= F.col("head").isNull() & F.col("field_len").isNull()
+            is_count &= F.col("span").isNull()
+    else:
+        counted, is_count = _word_counts(corpus, batch, carry), met > 0
     if not scored:
         terms = batch.terms
-    elif words is not None and stats is None:
-        # The same shuffled counts serve the statistics, so the texts are read once.
-        met = F.count_if(_total([F.col(f"tf_{i}") for i in range(len(corpus.fields))]) > 0)
-        counts = words.groupBy("term").agg(met.alias("docs"), F.sum("doc_len").alias("words"))
+    elif stats is None:
+        counts = counted.where(is_count).groupBy("term").agg(
+            F.count(F.lit(1)).alias("docs"), F.sum("doc_len").alias("words")
+        )
         terms = with_idf(batch, counts)
     else:
-        terms = with_idf(batch, _document_counts(stats or corpus, batch))
+        terms = with_idf(batch, _document_counts(stats, batch))
+
+    lead = terms.where(F.col("qpos") == F.col("first_qpos"))
     if runs:
-        level = _aligned(corpus, batch, terms, carry, group, fixed)
-        is_word = F.col("word").isNotNull()
+        level = join_by_term(counted, lead, batch.small, list(corpus.keys), "left")
+        level = level.withColumns(
+            {"query_id": F.coalesce("of_query", "query_id"), "run": run}
+        ).where(F.col("query_id").isNotNull())
     else:
-        lead = terms.where(F.col("qpos") == F.col("first_qpos"))
-        level = join_by_term(words, lead, batch.small, list(corpus.keys))
-        is_word = F.lit(True)
+        level = join_by_term(counted, lead, batch.small, list(corpus.keys))
+    is_word = F.col("qpos").isNotNull()
 
-    n_fields = range(len(corpus.fields))
     measures = [F.max(c).alias(c) for c in ("qlen", "n_terms", "doc_len")]
     measures.append(F.count_if(is_word).alias("matched_terms"))
     for i in n_fields:
         measures.append(F.sum(F.when(is_word, F.col(f"tf_{i}"))).alias(f"hits_{i}"))
         measures.append(F.count_if(is_word & (F.col(f"tf_{i}") > 0)).alias(f"terms_{i}"))
     if scored:
-        whole = _total([F.col(f"tf_{i}") for i in n_fields]).cast("double")
-        measures.append(F.sum(F.when(is_word, _bm25_term(whole, k1, b))).alias("bm25"))
+        share = _bm25_term(met.cast("double"), k1, b)
+        measures.append(F.sum(F.when(is_word, share)).alias("bm25"))
     if runs:
         for i in n_fields:
             here = F.col("at_field") == i
-            full = (F.col("run") == F.col("qlen")) & (F.col("field_len") == F.col("qlen"))
-            head = here & F.col("head")
-            measures += [
-                F.max(F.when(here, F.col("run"))).alias(f"lcs_{i}"),
-                F.coalesce(F.max(head.cast("int")), F.lit(0)).alias(f"head_{i}"),
-                F.coalesce(F.max((head & full).cast("int")), F.lit(0)).alias(f"exact_{i}"),
-            ]
+            measures.append(F.max(F.when(here, F.col("run"))).alias(f"lcs_{i}"))
+            if ends:
+                full = (F.col("run") == F.col("span")) & (F.col("field_len") == F.col("span"))
+                head = here & F.col("head")
+                measures += [
+                    F.coalesce(F.max(head.cast("int")), F.lit(0)).alias(f"head_{i}"),
+                    F.coalesce(F.max((head & full).cast("int")), F.lit(0)).alias(f"exact_{i}"),
+                ]
     result = _with_mask(level.groupBy(*group).agg(*measures), corpus)
     if runs:
-        met = {
+        found = {
             f"lcs_{i}": F.when(F.col(f"terms_{i}") > 0, F.coalesce(f"lcs_{i}", F.lit(1))).otherwise(0)
             for i in n_fields
         }
-        result = result.withColumns(met)
-        best = [F.col(name) for name in met]
+        result = result.withColumns(found)
+        best = [F.col(name) for name in found]
         result = result.withColumn("best_run", F.greatest(*best) if len(best) > 1 else best[0])
     return result
 
@@ -192,57 +211,53 @@ def _word_counts(corpus: Corpus, batch: QueryBatch, carry: Sequence[str]) -> Dat
     )
 
 
-def _aligned(
-    corpus: Corpus,
-    batch: QueryBatch,
-    terms: DataFrame,
-    carry: Sequence[str],
-    group: list[str],
-    fixed: list[str],
-) -> DataFrame:
-    """Rows per (query, document) of two kinds.
+def _words_and_alignments(
+    corpus: Corpus, batch: QueryBatch, carry: Sequence[str], ends: bool
+) -> tuple[DataFrame, Column, Column]:
+    """Rows of two kinds per document, and the run and the mark of no links of a row.
 
-    One per distinct word (``word`` set) with its counts, and one per alignment of
-    the query in a field (``at_field`` set) with its longest run, for the alignments
-    that link two words or put the first query word at the start of the field.
+    Counts: one row per distinct word of any query, and the marker, with ``of_query``
+    null. Alignments: one row per query laid over a field (``of_query``, ``at_field``,
+    ``anchor``) that links two words, and with ``ends`` also one that puts the first
+    query word at the start; their ``term`` is the marker, never null, because a test
+    for null would be pushed into one use of this table and not the other.
     """
-    words = positions(corpus, carry, previous=True)
-    hits = join_by_term(words, terms, batch.small, list(corpus.keys))
-    lead = F.col("qpos") == F.col("first_qpos")
-    opens = (F.col("pos") == 0) & (F.col("qpos") == 0)
-    hits = hits.withColumn(
-        "linked", F.coalesce(F.col("previous") == F.col("before"), F.lit(False))
-    )
-    null = F.lit(None).cast("int")
-    alignment = F.struct(
-        F.col("field_no").alias("at_field"),
-        (F.col("pos") - F.col("qpos")).alias("anchor"),
-        null.alias("word"),
-    )
-    word = F.struct(null.alias("at_field"), null.alias("anchor"), F.col("qpos").alias("word"))
-    aligned = F.col("linked") | opens
-    copies = (
-        F.when(lead & aligned, F.array(alignment, word))
-        .when(lead, F.array(word))
-        .otherwise(F.array(alignment))
-    )
-    placed = hits.where(lead | aligned).select(
-        *group,
-        *["field_no", "field_len", "doc_len", "pos", "qpos", "linked"],
-        *fixed,
-        F.inline_outer(copies),
+    queries = batch.terms.select("query_id", "qpos", "term", "before", "qlen")
+    vocabulary = batch.words(marker=MARKER).select("term").distinct()
+    side = queries.unionByName(vocabulary, allowMissingColumns=True)
+    words = positions(corpus, carry, marker=True, previous=True)
+    hits = join_by_term(words, side, batch.small, list(corpus.keys))
+    is_word = F.col("query_id").isNull()
+    linked = F.coalesce(F.col("previous") == F.col("before"), F.lit(False))
+    opens = F.coalesce((F.col("pos") == 0) & (F.col("qpos") == 0), F.lit(False))
+    kept = is_word | linked | opens if ends else is_word | linked
+    term = F.coalesce(F.when(is_word, F.col("term")), F.lit(MARKER))
+    rows = hits.where(kept).select(
+        *corpus.keys,
+        *carry,
+        F.col("query_id").alias("of_query"),
+        F.when(~is_word, F.col("field_no")).alias("at_field"),
+        F.when(~is_word, F.col("pos") - F.col("qpos")).alias("anchor"),
+        term.alias("term"),
+        linked.alias("linked"),
+        F.when(~is_word, opens).alias("opens"),
+        F.when(~is_word, F.col("field_len")).alias("field_len"),
+        F.col("qlen").alias("span"),
+        *["qpos", "field_no", "doc_len"],
     )
-    linked = F.col("word").isNull() & F.col("linked")
-    spots, run = _longest_run(batch, linked)
-    level = placed.groupBy(*group, "at_field", "anchor", "word").agg(
-        spots.alias("spots"),
+    spots, run, unlinked = _longest_run(batch, F.col("linked"))
+    edges = [
+        F.max("opens").alias("head"),
         F.max("field_len").alias("field_len"),
-        F.max(opens).alias("head"),
-        F.max("doc_len").alias("doc_len"),
+        F.max("span").alias("span"),
+    ]
+    counted = rows.groupBy(*corpus.keys, *carry, "of_query", "at_field", "anchor", "term").agg(
+        spots.alias("spots"),
         *_tf(corpus),
-        *[F.max(c).alias(c) for c in fixed],
+        F.max("doc_len").alias("doc_len"),
+        *(edges if ends else []),
     )
-    return level.withColumn("run", F.when(F.col("word").isNull(), run))
+    return counted, run, unlinked
 
 
 def _with_mask(df: DataFrame, corpus: Corpus) -> DataFrame:

@@ -132,6 +132,7 @@ def ranked(
         batch,
         runs=needs.runs or mode == "phrase",
         scored=needs.scored,
+        ends=name == "boosted",
         carry=carry,
         stats=stats,
         k1=k1,

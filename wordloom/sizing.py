@@ -63,7 +63,7 @@ def join_by_key(big: DataFrame, side: DataFrame, on: list[str], how: str) -> Dat
 
 
 def join_by_term(
-    words: DataFrame, terms: DataFrame, small: bool, spread: list[str]
+    words: DataFrame, terms: DataFrame, small: bool, spread: list[str], how: str = "inner"
 ) -> DataFrame:
     """Equi-join on ``term``.
 
@@ -72,10 +72,10 @@ def join_by_term(
     columns and ``terms`` is repeated once per salt.
     """
     if small:
-        return words.join(F.broadcast(terms), "term")
+        return words.join(F.broadcast(terms), "term", how)
     salted = words.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     repeated = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, ["term", "salt"]).drop("salt")
+    return salted.join(repeated, ["term", "salt"], how).drop("salt")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
