@@ -31,14 +31,15 @@ from wordloom.sources.tokens import MARKER, doc_terms, positions
 KINDS = ("must", "any", "not")
 OPS = ("words", "quorum", "phrase", "near", "start", "end")
 ALIGNED = ("phrase", "start", "end")
+NOWHERE = -(2**30)  # lies before every position by more than any span
 
 
 @dataclass(frozen=True)
 class ClauseBatch:
     """Clauses split into words: one row per clause word, measured for broadcast.
 
-    ``terms`` has query_id, clause, kind, op, n, field, qpos, term, first_qpos, before
-    (the word one position earlier), len (words), need (distinct words that make the
+    ``terms`` has query_id, clause, kind, op, n, field, qpos, term, first_qpos, term_no
+    (among the distinct words), before (the word one position earlier), len (words), need (distinct words that make the
     clause hold) and wanted (clauses of the query that must hold). ``ops`` are the
     operators in use.
     """
@@ -91,6 +92,7 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
     terms = exploded.withColumns(
         {
             "first_qpos": (F.array_position("list", F.col("term")) - 1).cast("int"),
+            "term_no": (F.array_position(F.array_distinct("list"), F.col("term")) - 1).cast("int"),
             "before": F.get("list", F.col("qpos") - 1),
         }
     ).drop("list")
@@ -165,8 +167,7 @@ def match_extended(
 
     A phrase of several words needs only the words that follow the word they follow
     in the clause; other operators need each distinct word. These rows are combined
-    before the shuffle. With a 'near' clause, whose spans need every position, they
-    are shuffled by (query, document) once and all later steps are local to that.
+    before the shuffle, those of a 'near' clause into one list of places per field.
     """
     names = F.array(*[F.lit(f) for f in corpus.fields])
     words = positions(corpus, carry, marker=True, previous=True)
@@ -182,11 +183,8 @@ def match_extended(
     found_by = ["query_id", *corpus.keys, *carry]
     clause = [*found_by, "clause", "kind", "op", "wanted"]
 
-    if "near" in clauses.ops:
-        hits = hits.repartition("query_id", *corpus.keys)
-        hits = hits.withColumn("within", _within(corpus, near))
-    else:
-        hits = hits.withColumn("within", F.lit(0))
+    spans = "near" in clauses.ops
+    place = F.when(near, F.struct("pos", "term_no"))
     # The unit a row proves: an alignment, a field's spans, or a word of the clause.
     anchor = F.col("pos") - F.col("qpos")
     units = hits.withColumns(
@@ -197,10 +195,11 @@ def match_extended(
     )
     proved = units.groupBy(*clause, "unit_field", "unit").agg(
         F.count(F.lit(1)).alias("n_hits"),
-        F.max("within").alias("within"),
         F.max("field_len").alias("field_len"),
         F.max("len").alias("len"),
         F.max("need").alias("need"),
+        F.max("n").alias("n"),
+        *([F.collect_list(place).alias("places")] if spans else []),
     )
     whole = F.col("n_hits") == F.when(single, F.lit(1)).otherwise(F.col("len") - 1)
     opens = F.col("unit") == 0
@@ -209,7 +208,7 @@ def match_extended(
         F.when(F.col("op") == "phrase", whole)
         .when(F.col("op") == "start", whole & opens)
         .when(F.col("op") == "end", whole & closes)
-        .when(near, F.col("within") >= F.col("need"))
+        .when(near, _within() if spans else F.lit(False))
         .otherwise(F.lit(True))
     )
     by_count = F.col("op").isin("words", "quorum")
@@ -221,17 +220,21 @@ def match_extended(
     return _decide(held, found_by)
 
 
-def _within(corpus: Corpus, near: Column) -> Column:
-    """Distinct words of a 'near' clause within its span, starting at each hit.
+def _within() -> Column:
+    """Whether some n successive positions hold all the words, from the places of a field.
 
-    The frame of a window is fixed while ``n`` differs per clause, so positions are
-    measured in spans: two lie within n positions exactly when they differ by less
-    than n - 0.5, a distance no two whole positions have.
+    Goes through the places in order with the last position of each word in hand.
     """
-    span = F.col("pos") / (F.coalesce(F.col("n"), F.lit(1)) - 0.5)
-    frame = (
-        Window.partitionBy("query_id", *corpus.keys, "clause", "field_no")
-        .orderBy(span)
-        .rangeBetween(0, 1)
+    start = F.struct(
+        F.array_repeat(F.lit(NOWHERE), F.col("need")).alias("last"), F.lit(False).alias("found")
     )
-    return F.size(F.collect_set(F.when(near, F.col("term"))).over(frame))
+
+    def step(state: Column, place: Column) -> Column:
+        last = F.transform(
+            state["last"], lambda old, i: F.when(i == place["term_no"], place["pos"]).otherwise(old)
+        )
+        close = F.array_min(last) > place["pos"] - F.col("n")
+        return F.struct(last.alias("last"), (state["found"] | close).alias("found"))
+
+    found = F.aggregate(F.array_sort("places"), start, step, lambda state: state["found"])
+    return (F.size("places") >= F.col("need")) & found
