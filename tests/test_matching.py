@@ -1,6 +1,6 @@
 import pytest
 from conftest import DOCS
-from reference_impl import bm25, longest_run, words
+from brute_force import bm25, longest_run, words
 
 from wordloom import sizing
 from wordloom.operators import ranking as rk
