@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wordloom.sizing import few, hint, measure
+from wordloom.sizing import few, hint, join_by_term, measure
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
 
@@ -12,7 +12,7 @@ from wordloom.sources.corpus import Corpus, term_counts
 def keywords(corpus: Corpus, batch: QueryBatch) -> DataFrame:
     """Each word of each query text with its documents and hits in the corpus."""
     counts = term_counts(corpus, batch.terms, batch.small)
-    joined = batch.terms.join(hint(counts, batch.small), "term", "left")
+    joined = join_by_term(batch.terms, counts, batch.small, ["query_id", "qpos"], "left")
     return joined.select(
         "query_id",
         "qpos",

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wordloom.codes import WEIGHT_BOUND
 from wordloom.sources.batch import QueryBatch
-from wordloom.sizing import hint, join_by_term
+from wordloom.sizing import join_by_term
 from wordloom.sources.corpus import Corpus
 from wordloom.sources.tokens import MARKER, doc_terms, positions
 
@@ -59,7 +59,7 @@ def with_idf(batch: QueryBatch, counts: DataFrame) -> DataFrame:
     passed on to the other side of later joins and make its plan differ.
     """
     rows = batch.words(marker=MARKER)
-    joined = rows.join(hint(counts, batch.small), "term", "left")
+    joined = join_by_term(rows, counts, batch.small, ["query_id", "qpos"], "left")
     query = Window.partitionBy("query_id")
     is_marker = F.col("term") == MARKER
     docs = F.max(F.when(is_marker, F.col("docs"))).over(query).cast("double")

@@ -15,7 +15,7 @@ from wordloom.operators.grouping import GROUP_SORT, group_by, page_groups
 from wordloom.operators.matching import match_fullscan
 from wordloom.operators.ordering import Order, cutoff, page, relevance
 from wordloom.operators.ranking import Weights, apply_index_weights, ranked
-from wordloom.sizing import checkpointed, few, hint, measure
+from wordloom.sizing import checkpointed, few, hint, join_by_term, measure
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
 
@@ -81,7 +81,7 @@ def result_summary(
 def word_stats(corpus: Corpus, batch: QueryBatch) -> DataFrame:
     """Per distinct query word: documents that hold it and its occurrences."""
     counts = term_counts(corpus, batch.terms, batch.small)
-    joined = batch.lead_terms.join(hint(counts, batch.small), "term", "left")
+    joined = join_by_term(batch.lead_terms, counts, batch.small, ["query_id"], "left")
     return joined.select(
         "query_id",
         F.col("term").alias("word"),
