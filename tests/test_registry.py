@@ -21,7 +21,7 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
