@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand long texts to Python in batches of ``rows``; a job sets this once."""
+    """Hand long texts to Python in batches of ``rows``, and see that Python workers find
+    this package; a job calls this once."""
     spark.conf.set(ARROW_ROWS, str(rows))
+    context = spark.sparkContext
+    name = f"wordloom-{context.applicationId}.zip"
+    if not any(path.endswith(name) for path in context.listFiles):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="llm-")) / name
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
 
 
 def shared_folder(spark: SparkSession) -> str:

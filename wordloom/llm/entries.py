@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wordloom.llm.common import read, small_batches
+from wordloom.llm.decontaminate import decontaminate
 from wordloom.llm.packing import pack
 from wordloom.llm.token_files import token_files
 from wordloom.llm.token_ids import VOCABULARY
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontaminate(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=1)
@@ -23,6 +37,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
