@@ -8,10 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
 from wordloom.llm.packing import pack
+from wordloom.llm.simhash import near_duplicates
 from wordloom.llm.token_files import token_files
 from wordloom.llm.token_ids import VOCABULARY
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    groups = near_duplicates(read(spark, sf_dir, "documents"), shingle=4, distance=4, seed=42)
+    return groups.select(
+        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -37,6 +46,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_token_files": op10_token_files,
