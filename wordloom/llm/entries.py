@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
+from wordloom.llm import line_quality
 from wordloom.llm.packing import pack
 from wordloom.llm.simhash import near_duplicates
 from wordloom.llm.token_files import token_files
@@ -34,6 +35,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(read(spark, sf_dir, "documents")).drop("host", "key")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=1)
@@ -48,7 +53,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_quality_rules": line_quality.ORACLE}
