@@ -8,7 +8,7 @@ table, with compressed size, size and the low half of XXH64 for each frame. A re
 both tables from the end and then only the frames that a document lies in.
 
 Rows: a null text is empty, so the document holds the end id alone; a null document id is
-kept as null and comes first; repeated ids are all kept, in the order of their texts; other
+kept as null and comes first; repeated ids are all kept, in the order of their texts' hashes; other
 columns are ignored. An empty table gives no file and no row.
 """
 
@@ -26,7 +26,7 @@ import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wordloom.llm.common import new_folder, stored, table
 from wordloom.llm.token_ids import token_ids
@@ -193,8 +193,10 @@ def write_token_files(
                 n_bytes=[writer.bytes],
             )
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    # Ranges are sampled on the driver: the sample holds numbers, never texts.
+    ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    ordered = ordered.repartitionByRange("doc_id", "tie")
+    ordered = ordered.sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     schema = "file string, part int, first_id long, n_docs long, n_tokens long, n_bytes long"
     return stored(ordered.mapInArrow(write, schema), "token-manifest")
 
