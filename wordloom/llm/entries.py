@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wordloom.llm import line_dedup, line_quality
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
-from wordloom.llm import line_quality
 from wordloom.llm.packing import pack
 from wordloom.llm.simhash import near_duplicates
 from wordloom.llm.token_files import token_files
@@ -35,6 +35,13 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    cut = line_dedup.dedup_lines(read(spark, sf_dir, "documents"), min_run=3)
+    text = F.coalesce("text", F.lit(""))
+    return cut.select("doc_id", "n_deleted", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(read(spark, sf_dir, "documents")).drop("host", "key")
 
@@ -53,8 +60,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
-ORACLE: dict[str, str] = {"op5_quality_rules": line_quality.ORACLE}
+ORACLE: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE,
+    "op5_quality_rules": line_quality.ORACLE,
+}

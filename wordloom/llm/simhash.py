@@ -26,7 +26,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from wordloom.llm.common import runs, slices, stored, table, utf8
 from wordloom.llm.components import components
@@ -36,9 +36,7 @@ CELL = 2048
 GOLAY_BITS, GOLAY_RADIUS = 23, 3
 GOLAY_POLYNOMIAL = 0xAE3  # fixed value: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
 VISITS = pa.schema([("anchor", pa.int64()), ("print", pa.int64()), ("home", pa.bool_())])
-EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def fingerprint(text: bytes, shingle: int, seed: int, step: int = 1 << 16) -> int:
@@ -64,14 +62,17 @@ def fingerprint(text: bytes, shingle: int, seed: int, step: int = 1 << 16) -> in
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``doc_id, print`` (the 64 bits as a signed number) of every document; no shuffle."""
+    """``docs`` with ``print`` (the 64 bits as a signed number) for ``text``; no shuffle."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t, shingle, seed) for t in utf8(batch.column("text"))]
-            yield table(PRINTS, doc_id=batch.column("doc_id"), print=prints)
+            own = batch.drop_columns(["text"])
+            yield own.append_column("print", pa.array(prints, pa.int64()))
 
-    return docs.select("doc_id", "text").mapInArrow(each, "doc_id long, print long")
+    fields = [f for f in docs.schema.fields if f.name != "text"]
+    schema = T.StructType([*fields, T.StructField("print", T.LongType())])
+    return docs.select(*(f.name for f in fields), "text").mapInArrow(each, schema)
 
 
 def _syndrome(values: np.ndarray) -> np.ndarray:
@@ -218,12 +219,13 @@ def near_duplicates(
     distance: int = 4,
     seed: int = 42,
     layout: tuple[int, ...] = LAYOUT,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id, print, component_id``: documents whose fingerprints are linked, directly or
-    over others, share the smallest ``doc_id`` among them."""
+    """``doc_id, print, component_id`` and the narrow columns ``carry``: documents whose
+    fingerprints are linked, directly or over others, share the smallest ``doc_id``."""
     if sum(layout) != 64:
         raise ValueError("the blocks of a layout hold 64 bits together")
-    own = stored(fingerprints(docs, shingle, seed), "prints")
+    own = stored(fingerprints(docs.select("doc_id", *carry, "text"), shingle, seed), "prints")
     each = own.groupBy("print").agg(F.min("doc_id").alias("least"))
     hung = components(links(each.select("print"), distance, layout))
     rooted = each.join(hung, each["print"] == hung["node"], "left").select(
@@ -231,4 +233,17 @@ def near_duplicates(
     )
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(groups, "root").select("print", "component_id")
-    return own.join(named, "print").select("doc_id", "print", "component_id")
+    return own.join(named, "print").select("doc_id", "print", "component_id", *carry)
+
+
+def keep_one(docs: DataFrame, **settings) -> DataFrame:
+    """One row of ``docs`` per component: the smallest ``doc_id``, then the smallest hash of
+    the text; rows equal in both give one."""
+    content = F.md5(F.coalesce("text", F.lit("")))
+    groups = near_duplicates(docs.withColumn("content", content), carry=("content",), **settings)
+    # Null ids do not mix with the others: a component of null ids alone is one group.
+    best = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "content")).alias("b"))
+    best = best.select(F.col("b.doc_id").alias("_id"), F.col("b.content").alias("_content"))
+    wide = docs.withColumn("_own", content)
+    same = wide["doc_id"].eqNullSafe(best["_id"]) & (wide["_own"] == best["_content"])
+    return wide.join(best, same, "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
