@@ -9,6 +9,7 @@ from wordloom.llm import line_dedup, line_quality
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
 from wordloom.llm.packing import pack
+from wordloom.llm.repeats import remove_repeats
 from wordloom.llm.simhash import near_duplicates
 from wordloom.llm.token_files import token_files
 from wordloom.llm.token_ids import VOCABULARY
@@ -51,6 +52,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=1)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return remove_repeats(read(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = read(spark, sf_dir, "documents")
@@ -63,6 +69,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_files": op10_token_files,
 }
 ORACLE: dict[str, str] = {
