@@ -2,8 +2,9 @@
 
 The vocabulary lower-cases, drops white space and never joins across it, so the ids of a
 text are those of its words in order. A text is cut at blank, tab and line ends, and the ids
-of each word are kept as bytes. An ASCII word is cut by the vocabulary's own pattern, whose
-parts go to its merges; any other word goes through the library's whole chain.
+of each word are kept as bytes. A word of printable ASCII and Latin letters, which the
+vocabulary's normal form leaves as they are but for their case, is cut by the vocabulary's own
+pattern, and the parts go to its merges; any other word goes through the library's whole chain.
 """
 
 from __future__ import annotations
@@ -14,23 +15,36 @@ import numpy as np
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-WORDS = 400_000
+WORDS = 250_000
+PARTS_KEPT = 600_000
 LONGEST = 40
 
-# The vocabulary's own split pattern over lower-case printable ASCII.
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Printable ASCII and the letters from U+00C0 to U+00FF.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# The vocabulary's own split pattern over them in lower case.
+_LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the bytes of those letters: a printable byte as its
+    own character, the others counted on from U+0100."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in printable]
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
 class Memory(dict):
     """Ids of words as little-endian unsigned 32-bit numbers; emptied when it is full."""
 
-    def __init__(self, make) -> None:
-        self.make = make
+    def __init__(self, make, most: int) -> None:
+        self.make, self.most = make, most
 
     def __missing__(self, word: str) -> bytes:
         ids = self.make(word)
         if len(word) <= LONGEST:
-            if len(self) >= WORDS:
+            if len(self) >= self.most:
                 self.clear()
             self[word] = ids
         return ids
@@ -42,14 +56,17 @@ class TokenIds:
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
         self.merges = self.whole.model
-        self.part = Memory(self._part)
-        self.word = Memory(self._word)
+        self.letters = _byte_letters()
+        self.part = Memory(self._part, PARTS_KEPT)
+        self.word = Memory(self._word, WORDS)
 
     def _part(self, part: str) -> bytes:
-        return np.array([x.id for x in self.merges.tokenize(part)], "<u4").tobytes()
+        return np.array([x.id for x in self.merges.tokenize(part.translate(self.letters))], "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isprintable() and "<|" not in word:
+        if not word:
+            return b""
+        if PLAIN.fullmatch(word) and "<|" not in word:
             parts = PARTS.findall(word.lower())
             return b"".join(map(self.part.__getitem__, parts))
         ids = self.whole.encode(word, add_special_tokens=False).ids
