@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wordloom.llm import line_dedup, line_quality
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
+from wordloom.llm.extract import extract
 from wordloom.llm.packing import pack
 from wordloom.llm.repeats import remove_repeats
 from wordloom.llm.simhash import near_duplicates
@@ -23,6 +24,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -65,6 +71,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
