@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import line_dedup, line_quality
+from wordloom.llm import grades, line_dedup, line_quality, tool_calls
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
 from wordloom.llm.extract import extract
@@ -53,6 +53,20 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(read(spark, sf_dir, "documents")).drop("host", "key")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = read(spark, sf_dir, "documents")
+    ratings = read(spark, sf_dir, "labels").select("doc_id", grades.grade().alias("grade"))
+    model = grades.train(docs, ratings, levels=3)
+    return grades.score(docs, model, wanted=2)
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    messages = tool_calls.exchanges(read(spark, sf_dir, "conversations"))
+    return tool_calls.format_conversations(messages, tool_calls.ANSWER_TOOL)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=1)
@@ -75,6 +89,8 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_files": op10_token_files,
@@ -82,4 +98,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_quality_rules": line_quality.ORACLE,
+    "op7_chat_formatting": tool_calls.ORACLE,
 }
