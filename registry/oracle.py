@@ -304,10 +304,35 @@ ORACLE: dict[str, str] = {
     "e6_expr": f"""{CONTENT}, x AS (SELECT query_id, doc_id, n_chars, weight FROM {CARRIED})
         {_ranked('x', 'weight * 100 - n_chars DESC, doc_id', 20)}""",
     "f1_offset_limit": f"{CONTENT} {_ranked('cn', 'weight DESC, doc_id', 25, 10)}",
+    "f1_limit_2000": f"""SELECT * EXCLUDE (o_orderdate) FROM ({_ranked(
+        '(SELECT s.query_id, doc_id, s.o_custkey, o_orderstatus, o_totalprice, s.o_orderdate, s.weight'
+        f' FROM {ORDERS} s JOIN orders ON o_orderkey = doc_id)', 'weight DESC, doc_id', 2000)})""",
     "f2_max_matches": f"{CONTENT} {_ranked('cn', 'weight DESC, doc_id', 100)}",
     "f3_cutoff": f"""{CONTENT}, x AS ({_ranked('cn', 'doc_id', 50)})
         SELECT query_id, doc_id, weight FROM x""",
     "g1_day": _group("o_orderdate::DATE", ORDERS),
+    "g1_day_seconds": _group("o_orderdate::DATE", ORDERS),
+    "g8_group_search_sorted": f"""{CONTENT}, x AS (SELECT query_id, doc_id, lang, n_chars, weight,
+        row_number() OVER (PARTITION BY query_id, lang ORDER BY n_chars DESC, doc_id) AS n,
+        count(*) OVER (PARTITION BY query_id, lang) AS count FROM {CARRIED}),
+        g AS (SELECT query_id, lang AS group_key, count, doc_id, weight, upper(lang) AS language,
+        n_chars FROM x WHERE n = 1) {_ranked('g', 'group_key DESC', 20)}""",
+    "g10_groups_2000": f"""WITH g AS ({_group('o_orderdate::DATE', ORDERS)})
+        {_ranked('g', 'group_key DESC', 2000)}""",
+    "j5_search_status": f"""WITH q AS (SELECT item_id AS query_id, CASE item_id % 3 WHEN 0 THEN text
+        WHEN 1 THEN '...' END AS text FROM benchmark), k AS (SELECT query_id, text,
+        coalesce({words('text')}, []) AS ql FROM q), {W},
+        m AS (SELECT query_id FROM w, k WHERE {_any()})
+        SELECT k.query_id, least(count(m.query_id), 1000) AS total, count(m.query_id) AS total_found,
+        CASE WHEN text IS NULL THEN 'error' WHEN len(ql) = 0 THEN 'warning' ELSE 'ok' END AS status,
+        CASE WHEN text IS NULL THEN 'query text is missing' WHEN len(ql) = 0 THEN 'query has no words'
+        ELSE '' END AS message FROM k LEFT JOIN m USING (query_id) GROUP BY k.query_id, text, ql""",
+    "b1_values_table_doubles": """SELECT p_partkey, price FROM (SELECT p_partkey,
+        round(p_retailprice * 2) / 2 AS price FROM part)
+        WHERE price IN (SELECT (p_partkey % 400 + 900)::DOUBLE FROM part)""",
+    "b2_values_table_doubles": """SELECT p_partkey, price FROM (SELECT p_partkey,
+        round(p_retailprice * 2) / 2 AS price FROM part)
+        WHERE price NOT IN (SELECT (p_partkey % 400 + 900)::DOUBLE FROM part)""",
     "g2_week": _group("date_trunc('week', o_orderdate)::DATE", ORDERS),
     "g3_month": _group("date_trunc('month', o_orderdate)::DATE", ORDERS),
     "g4_year": _group("date_trunc('year', o_orderdate)::DATE", ORDERS),

@@ -265,13 +265,35 @@ def multi_value_filter(spark, sf):
     )
 
 
+def _prices(spark, sf):
+    """Prices to halves, and whole numbers to look for among them."""
+    part = table(spark, sf, "part")
+    halves = (F.round(F.col("p_retailprice") * 2) / 2).alias("price")
+    wanted = part.select((F.col("p_partkey") % 400 + 900).cast("bigint"))
+    return part.select("p_partkey", halves), wanted
+
+
+def values_filter_doubles(spark, sf):
+    """Integers among fractional numbers: 900.5 is not 900."""
+    return fl.filter_values(*_with_attr(_prices(spark, sf), "price"))
+
+
+def values_excluded_doubles(spark, sf):
+    return fl.filter_values(*_with_attr(_prices(spark, sf), "price"), exclude=True)
+
+
+def _with_attr(pair, attr):
+    return pair[0], attr, pair[1]
+
+
 def filter_scope(spark, sf):
     docs, one = documents(spark, sf), batch(spark)
     short = search(docs, one, "any", "wordcount", filters=[fl.between("n_chars", 0, 2000)])
     whole = search(docs, one, "any", "wordcount")
-    return short.summary.withColumn("scope", F.lit("short")).unionByName(
+    both = short.summary.withColumn("scope", F.lit("short")).unionByName(
         whole.summary.withColumn("scope", F.lit("all"))
     )
+    return both.drop("status", "message")
 
 
 # --- matching -------------------------------------------------------------------------
@@ -309,7 +331,9 @@ def extended_match_fields(spark, sf):
 def extended2_search(spark, sf):
     """The second code of the same operator, with its totals."""
     clauses = clause_batch(_clauses(spark, EXTENDED))
-    return search(documents(spark, sf), clauses, "extended2", "none").summary.drop("comment")
+    return search(documents(spark, sf), clauses, "extended2", "none").summary.drop(
+        "status", "message", "comment"
+    )
 
 
 def fullscan(spark, sf):
@@ -419,6 +443,11 @@ def offset_limit(spark, sf):
     return od.page(_counted(spark, sf), offset=10, limit=15)
 
 
+def long_page(spark, sf):
+    """A page of 2000 rows, beyond what a search keeps by default."""
+    return od.page(_order_matches(spark, sf), limit=2000).drop("o_orderdate")
+
+
 def best_matches(spark, sf):
     return od.max_matches(_counted(spark, sf), 100)
 
@@ -439,6 +468,13 @@ def group_day(spark, sf):
     return group_by(_order_matches(spark, sf), "o_orderdate", "day")
 
 
+def group_day_seconds(spark, sf):
+    """Days of a time kept as Unix seconds."""
+    rows = _order_matches(spark, sf)
+    seconds = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
+    return group_by(rows.withColumn("o_orderdate", seconds), "o_orderdate", "day")
+
+
 def group_week(spark, sf):
     return group_by(_order_matches(spark, sf), "o_orderdate", "week")
 
@@ -468,6 +504,20 @@ def group_best_match(spark, sf):
     return group_best(rows, "lang", "attr", od.attribute("n_chars"))
 
 
+def group_search_sorted(spark, sf):
+    """A grouped search that picks the longest document of each group."""
+    return search(
+        documents(spark, sf),
+        batch(spark),
+        "any",
+        "wordcount",
+        carry=["n_chars"],
+        sort=od.attribute("n_chars"),
+        items=["upper(lang) AS language", "n_chars"],
+        group=Group("lang", "attr"),
+    ).matches
+
+
 def group_distinct(spark, sf):
     return group_by(_order_matches(spark, sf), "o_orderdate", "month", distinct="o_custkey")
 
@@ -477,6 +527,11 @@ def group_sort(spark, sf):
     return page_groups(groups, [("@count", "desc"), ("@group", "desc")], limit=50)
 
 
+def many_groups(spark, sf):
+    """A page of 2000 groups."""
+    return page_groups(group_by(_order_matches(spark, sf), "o_orderdate", "day"), limit=2000)
+
+
 def group_search(spark, sf):
     """A grouped search with the default group order and a distinct count."""
     group = Group("lang", "attr", distinct="source")
@@ -572,7 +627,7 @@ def match_result(spark, sf):
 def totals(spark, sf):
     one = batch(spark)
     found = match_all(documents(spark, sf), one)
-    return result_summary(one.info, found, 500).drop("comment")
+    return result_summary(one.info, found, 500).drop("status", "message", "comment")
 
 
 def word_statistics(spark, sf):
@@ -595,10 +650,22 @@ def query_status(spark, sf):
     return validate_queries(log).select("query_id", "status", "message")
 
 
+def search_status(spark, sf):
+    """Queries without a text or without words are reported; the others run."""
+    items = table(spark, sf, "benchmark")
+    third = F.col("item_id") % 3
+    texts = items.select(
+        F.col("item_id").alias("query_id"),
+        F.when(third == 0, F.col("text")).when(third == 1, F.lit("...")).alias("text"),
+    )
+    found = search(documents(spark, sf), query_batch(texts), "any", "wordcount")
+    return found.summary.drop("comment")
+
+
 def query_comment(spark, sf):
     one = benchmark_queries(spark, sf)
     found = match_any(documents(spark, sf), one)
-    return result_summary(one.info, found)
+    return result_summary(one.info, found).drop("status", "message")
 
 
 # --- text -----------------------------------------------------------------------------
@@ -666,6 +733,7 @@ QUERIES: dict[str, Query] = {
     "e5_extended": sort_extended,
     "e6_expr": sort_expr,
     "f1_offset_limit": offset_limit,
+    "f1_limit_2000": long_page,
     "f2_max_matches": best_matches,
     "f3_cutoff": cutoff,
     "g1_day": group_day,
@@ -675,7 +743,13 @@ QUERIES: dict[str, Query] = {
     "g5_attr": group_attr,
     "g6_attrpair": group_attrpair,
     "g7_multi_value": group_multi_value,
+    "g1_day_seconds": group_day_seconds,
     "g8_group_best": group_best_match,
+    "g8_group_search_sorted": group_search_sorted,
+    "g10_groups_2000": many_groups,
+    "j5_search_status": search_status,
+    "b1_values_table_doubles": values_filter_doubles,
+    "b2_values_table_doubles": values_excluded_doubles,
     "g9_distinct": group_distinct,
     "g10_group_sort": group_sort,
     "g10_group_search": group_search,

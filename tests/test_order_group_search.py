@@ -8,11 +8,12 @@ from wordloom.codes import MATCH_MODES, code_name
 from wordloom.functions import escape_text
 from wordloom.operators import filters as fl
 from wordloom.operators import ordering as od
-from wordloom.operators.clauses import clause_batch
+from wordloom.operators.attributes import override
+from wordloom.operators.clauses import clause_batch, match_extended
 from wordloom.operators.excerpts import excerpts, keywords
 from wordloom.operators.grouping import group_best, group_by, page_groups
 from wordloom.plans.search import Group
-from wordloom.sources import corpora, validate_queries
+from wordloom.sources import corpora, query_batch, validate_queries
 
 ROWS = [
     (1, 1, 5, "a", datetime(2024, 1, 1, 5), [1, 2]),
@@ -224,3 +225,62 @@ def test_escape(spark):
     got = df.select(escape_text("t").alias("e")).first()["e"]
     assert got == "".join("\\" + c for c in special) + "a b"
     assert df.select(escape_text(F.lit(None).cast("string")).alias("e")).first()["e"] is None
+
+
+def test_pages_are_never_cut_silently(spark, docs, batch):
+    rows = spark.range(2500).select(
+        F.lit(1).alias("query_id"), F.col("id").alias("doc_id"), F.col("id").alias("weight")
+    )
+    assert od.page(rows, 1500, 900).count() == 900
+    assert od.page(rows, 990, 20, bound=1000).count() == 10
+    with pytest.raises(ValueError):
+        search(docs, batch("red"), offset=990, limit=20)
+    assert search(docs, batch("red"), max_matches=5, limit=5).matches.count() > 0
+
+
+def test_packed_weights_order_beyond_their_bits(spark, docs, batch):
+    """BM25 beyond 32 bits: the packed numbers tie, the exact scores decide."""
+    rows = spark.createDataFrame(
+        [(1, 1, 2**32 - 1, 5 * 10**9), (1, 2, 2**32 - 1, 6 * 10**9), (1, 3, 2**33, 1)],
+        "query_id long, doc_id long, weight long, bm25 long",
+    )
+    best = od.page(rows, order=od.relevance(rows)).collect()
+    assert [r.doc_id for r in sorted(best, key=lambda r: r["rank"])] == [3, 2, 1]
+    with pytest.raises(ValueError):
+        search(docs, batch("red fox"), field_weights=[2**30, 1])
+
+
+def test_repeated_and_broken_input_is_refused(spark, docs):
+    twice = spark.createDataFrame([(1, "the of"), (1, "and in")], "query_id long, text string")
+    with pytest.raises(ValueError):
+        query_batch(twice)
+    values = spark.createDataFrame([(1, 1, 5), (1, 1, 6)], "query_id long, doc_id long, value long")
+    rows = spark.createDataFrame([(1, 1, 2)], "query_id long, doc_id long, group_id long")
+    with pytest.raises(ValueError):
+        override(rows, "group_id", values)
+    clauses = "query_id long, clause int, kind string, text string, field string"
+    for bad in (
+        [(1, 1, "must", "the", None), (1, 2, "must", "!!!", None)],
+        [(1, 1, "must", "the", None), (1, 1, "any", "red", None)],
+    ):
+        with pytest.raises(ValueError):
+            clause_batch(spark.createDataFrame(bad, clauses))
+    field = clause_batch(spark.createDataFrame([(1, 1, "must", "the", "nowhere")], clauses))
+    with pytest.raises(ValueError):
+        match_extended(docs, field)
+
+
+def test_status_of_each_query(spark, docs):
+    rows = [(1, None), (2, "!!!"), (3, "red")]
+    batch = query_batch(spark.createDataFrame(rows, "query_id long, text string"))
+    got = {r.query_id: (r.status, r.total_found > 0) for r in search(docs, batch).summary.collect()}
+    assert got == {1: ("error", False), 2: ("warning", False), 3: ("ok", True)}
+
+
+def test_grouped_search_honours_the_sort(spark, docs, batch):
+    found = search(
+        docs, batch("red"), "any", "none", carry=["group_id"], sort=od.attribute("doc_id"),
+        items=["group_id"], group=Group("group_id", "attr"),
+    ).matches
+    got = {r.group_key: (r.doc_id, r["count"]) for r in found.collect()}
+    assert got == {20: (4, 2), 30: (5, 1), None: (6, 1)}

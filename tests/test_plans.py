@@ -4,8 +4,14 @@ import pytest
 from conftest import SF
 
 from registry import queries as rq
-from wordloom import search
+from wordloom import corpus, search
 from wordloom.operators import filters as fl
+from wordloom.operators import ordering as od
+from wordloom.operators import ranking as rk
+from wordloom.operators.clauses import clause_batch
+from wordloom.operators.excerpts import excerpts
+from wordloom.operators.grouping import group_best
+from wordloom.operators.matching import match_phrase
 
 
 def plan(df):
@@ -63,6 +69,35 @@ def test_search_reads_only_what_it_needs(spark):
         assert "lang" not in columns and "source" not in columns
 
 
-def test_grouping_hashes(spark):
+def test_grouping_combines_before_its_only_shuffle(spark):
     text = plan(rq.group_month(spark, SF))
-    assert "HashAggregate" in text and "SortAggregate" not in text
+    shuffles = [line for line in text.splitlines() if "hashpartitioning(" in line]
+    assert shuffles and not any("weight" in line for line in shuffles)
+    assert "partial_count" in text
+
+
+def test_grouped_best_splits_texts_once(spark):
+    docs = corpus(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", ["text"], ["lang", "n_chars"])
+    rows = rk.ranked(docs, rq.batch(spark), "wordcount", carry=["lang", "n_chars"])
+    text = plan(group_best(rows, "lang", "attr", od.attribute("n_chars")))
+    assert text.count("FileScan parquet") == 1
+
+
+def test_phrase_moves_linked_words_only(spark):
+    text = plan(match_phrase(rq.documents(spark, SF), rq.batch(spark)))
+    body = text[: text.index("FileScan parquet")]
+    assert body.count("hashpartitioning(query_id") == 1
+
+
+def test_excerpts_split_the_page_only(spark):
+    docs = corpus(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", ["text"])
+    page = spark.createDataFrame([(1, 3)], "query_id long, doc_id long")
+    text = plan(excerpts(docs, rq.batch(spark), page, rows=1))
+    assert text.index("regexp_extract_all") < text.index("BroadcastHashJoin [doc_id")
+
+
+def test_clauses_without_ranker_split_texts_once(spark):
+    docs = corpus(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", ["text"])
+    clauses = clause_batch(rq._clauses(spark, rq.EXTENDED))
+    found = search(docs, clauses, "extended", "none")
+    assert plan(found.matches).count("text:string") == 1

@@ -62,6 +62,14 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
         (F.col("field") if "field" in present else F.lit(None)).cast("string").alias("field"),
         "text",
     )
+    empty = (F.col("kind") == "must") & (F.coalesce(F.size(words("text")), F.lit(0)) <= 0)
+    checks = rows.agg(
+        F.count(F.lit(1)), F.count_distinct(F.struct("query_id", "clause")), F.count_if(empty)
+    ).first()
+    if checks[0] != checks[1]:
+        raise ValueError("a clause of a query occurs twice")
+    if checks[2]:
+        raise ValueError("a clause that must hold has no words")
     lists = rows.withColumn("list", words("text")).where(F.size("list") > 0)
     distinct = F.size(F.array_distinct("list"))
     need = (
@@ -99,7 +107,7 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
     row = terms.agg(
         F.count(F.lit(1)),
         F.sum(row_bytes(terms)),
-        F.collect_set("op"),
+        F.collect_set(F.when(F.col("op").isin(*OPS), F.col("op"))),
         F.count_if(~F.col("kind").isin(*KINDS) | ~F.col("op").isin(*OPS)),
         F.count_if(F.col("op").isin("quorum", "near") & ~F.coalesce(F.col("n") >= 1, F.lit(False))),
     ).first()
@@ -169,6 +177,9 @@ def match_extended(
     in the clause; other operators need each distinct word. These rows are combined
     before the shuffle, those of a 'near' clause into one list of places per field.
     """
+    unknown = F.col("field").isNotNull() & ~F.col("field").isin(*corpus.fields)
+    if not clauses.rows.where(unknown).isEmpty():
+        raise ValueError(f"a clause names a field that is not among {list(corpus.fields)}")
     names = F.array(*[F.lit(f) for f in corpus.fields])
     words = positions(corpus, carry, marker=True, previous=True)
     hits = join_by_term(words, clauses.terms, clauses.small, list(corpus.keys))

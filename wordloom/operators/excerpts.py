@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wordloom.sizing import few, hint, join_by_term, measure
+from wordloom.sizing import bounded, hint, join_by_term
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
 
@@ -38,15 +40,15 @@ def excerpts(
     """For each match the words around its first hit: query_id, keys, field, pos, excerpt.
 
     The first hit is the lowest position of the first field that has one. Matches
-    are a page of results, of at most ``rows`` rows; when that bound (or else their
-    measured size) is small they are broadcast and the corpus is scanned in place.
+    are a page of results, of at most ``rows`` rows; when that bound is small they are
+    broadcast and the corpus is scanned in place, otherwise Spark chooses the join.
     Each match then finds its first hit in its own word lists.
     """
     keys = list(corpus.keys)
-    small = few(rows) if rows is not None else measure(matches).small
     wanted = matches.select("query_id", *keys)
-    documents = corpus.lists.select(*keys, "words")
-    found = documents.join(hint(wanted, small), keys)
+    # The page meets whole texts; only its documents are split into words.
+    met = corpus.df.join(hint(wanted, bounded(wanted, rows)), keys)
+    found = replace(corpus, df=met, attrs=("query_id",)).lists.select(*keys, "query_id", "words")
     found = found.join(hint(batch.info.select("query_id", "list"), batch.small), "query_id")
     places = []
     for i, field in enumerate(corpus.fields):

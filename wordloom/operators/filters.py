@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from wordloom.functions.text import as_float32
 from wordloom.sizing import hint, measure
 
+# Up to this many listed values an IN list is planned and pushed down quickly.
+LISTED = 10_000
+
 Filter = Callable[[DataFrame], DataFrame]
 
 
@@ -31,23 +34,34 @@ def filter_values(
 ) -> DataFrame:
     """Keep rows whose attribute is in a set of integers.
 
-    A listed set becomes an ``IN`` that reaches the scan. A set held in a
-    one-column DataFrame becomes a semi (excluded: anti) join, broadcast when
-    measured small; beyond that Spark splits a skewed attribute value at run time.
+    A listed set of up to ``LISTED`` values becomes an ``IN`` that reaches the scan. A longer
+    one, or a set held in a one-column DataFrame, becomes a semi (excluded: anti) join,
+    broadcast when measured small; beyond that Spark splits a skewed attribute value at run
+    time. The set is read as the attribute's type, where a value that this type cannot hold
+    exactly equals nothing; so lists and tables agree on every numeric type.
     """
     if not isinstance(values, DataFrame):
         listed = [int(v) for v in values]
-        return _keep(df, attr, lambda c: c.isin(listed), exclude)
-    wanted = values.toDF("__value").where(F.col("__value").isNotNull()).distinct()
+        if len(listed) <= LISTED:
+            return _keep(df, attr, lambda c: c.isin(listed), exclude)
+        values = df.sparkSession.createDataFrame([(v,) for v in listed], "__value bigint")
+    kind = df.schema[attr].dataType
+    is_list = isinstance(kind, T.ArrayType)
+    element = (kind.elementType if is_list else kind).simpleString()
+    given = values.toDF("__given")
+    own = F.col("__given").try_cast(element)
+    # Exact: the value reads back as it was given.
+    back = own.try_cast(given.schema["__given"].dataType.simpleString())
+    wanted = given.where(back == F.col("__given")).select(own.alias("__value")).distinct()
     side = hint(wanted, measure(wanted).small)
     how = "left_anti" if exclude else "left_semi"
-    if isinstance(df.schema[attr].dataType, T.ArrayType):
+    if is_list:
         # A row's array is itself a key, so the hits of each distinct array are found once.
         lists = df.select(F.col(attr).alias("__list")).distinct()
         each = lists.select("__list", F.explode("__list").alias("__value"))
         hit = each.join(side, "__value", "left_semi").select("__list").distinct()
         return df.join(hit, df[attr] == hit["__list"], how)
-    return df.join(side, df[attr].cast("bigint") == side["__value"].cast("bigint"), how)
+    return df.join(side, df[attr] == side["__value"], how)
 
 
 def filter_range(df: DataFrame, attr: str, lo: int, hi: int, exclude: bool = False) -> DataFrame:

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wordloom.codes import DEFAULT_LIMIT, DEFAULT_OFFSET, GROUP_FUNCTIONS, code_name
-from wordloom.operators.ordering import Order, best_rows, extended, page
+from wordloom.operators.ordering import Order, extended, page
 
 # Fixed value: groups are listed by key, largest first, unless told otherwise.
 GROUP_SORT = (("@group", "desc"),)
@@ -30,7 +29,10 @@ def group_keys(df: DataFrame, attr: str | Sequence[str], func: str | int) -> dic
         if isinstance(df.schema[attr].dataType, T.ArrayType):
             return {"group_key": F.explode(F.array_distinct(attr))}
         return {"group_key": F.col(attr)}
-    date = F.col(attr).cast("date")
+    moment = F.col(attr)
+    if isinstance(df.schema[attr].dataType, T.NumericType):
+        moment = F.timestamp_seconds(moment)  # Unix seconds, as ``typed`` reads them
+    date = moment.cast("date")
     return {"group_key": date if name == "day" else F.trunc(date, name)}
 
 
@@ -54,9 +56,9 @@ def group_by(
 ) -> DataFrame:
     """One row per (query, group): count, best match, and distinct values of an attribute.
 
-    The best match has the highest weight, then the lowest key. Rows are first
-    summed per weight (and value), so a group holding a third of all matches is
-    spread and combined on the map side before the few rows left finish it.
+    The best match has the highest weight, then the lowest key. Every task keeps one row
+    per group (with ``distinct``: per group and value) before the shuffle, so a group
+    holding a third of all matches costs one row per task.
     """
     grouped = with_groups(df, attr, func)
     names = _names(grouped)
@@ -69,23 +71,17 @@ def group_by(
     )
     group = ["query_id", *names]
     best_match = F.min_by(
-        F.struct(*keys, "weight"), F.struct(F.bitwise_not("weight"), *keys)
+        F.struct(*keys, "weight"), F.struct(F.negative("weight").alias("__minus"), *keys)
     )
     if distinct is None:
-        first = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-        per_weight = rows.groupBy(*group, "weight").agg(
-            F.count(F.lit(1)).alias("__n"), F.min(first).alias("__first")
-        )
-        result = per_weight.groupBy(*group).agg(
-            F.sum("__n").alias("count"),
-            F.max_by("__first", "weight").alias("__first"),
-            F.max("weight").alias("best_weight"),
+        result = rows.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("count"), best_match.alias("__best")
         )
-        chosen = {
-            f"best_{k}": F.col("__first") if len(keys) == 1 else F.col("__first")[k] for k in keys
-        }
         return result.select(
-            *group, "count", *[c.alias(n) for n, c in chosen.items()], "best_weight"
+            *group,
+            "count",
+            *[F.col("__best")[k].alias(f"best_{k}") for k in keys],
+            F.col("__best")["weight"].alias("best_weight"),
         )
     if approximate:
         result = rows.groupBy(*group).agg(
@@ -122,13 +118,25 @@ def group_best(
     """One row per (query, group): count, and the whole row that comes first in ``order``."""
     rows = with_groups(df, attr, func)
     group = ["query_id", *_names(rows)]
-    best = best_rows(rows, order, 1, keys, by=group).drop("rank")
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("count"))
-    counts = counts.select(F.col("count"), *[F.col(c).alias(f"__{c}") for c in group])
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group]
-    )
-    return best.join(counts, same).drop(*[f"__{c}" for c in group])
+    full = [*order, *[F.col(k).asc() for k in keys]]
+    # Slices of the key first: a group that holds a third of all matches is counted and cut
+    # to one row per slice before it meets. Count and best row share one pass.
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = rows.withColumn("__slice", F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int"))
+    part = Window.partitionBy(*group, "__slice")
+    first = sliced.withColumns(
+        {
+            "__n": F.row_number().over(part.orderBy(*full)),
+            "count": F.count(F.lit(1)).over(part),
+        }
+    ).where(F.col("__n") == 1)
+    whole = Window.partitionBy(*group)
+    return first.withColumns(
+        {
+            "__n": F.row_number().over(whole.orderBy(*full)),
+            "count": F.sum("count").over(whole),
+        }
+    ).where(F.col("__n") == 1).drop("__n", "__slice")
 
 
 def page_groups(

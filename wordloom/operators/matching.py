@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wordloom.operators.factors import factors
 from wordloom.sources.batch import QueryBatch
 from wordloom.sizing import join_by_term
 from wordloom.sources.corpus import Corpus
-from wordloom.sources.tokens import doc_terms
+from wordloom.sources.tokens import doc_terms, positions
 
 
 def _term_hits(corpus: Corpus, batch: QueryBatch) -> DataFrame:
@@ -39,8 +38,26 @@ def match_any(corpus: Corpus, batch: QueryBatch) -> DataFrame:
 
 def match_phrase(corpus: Corpus, batch: QueryBatch) -> DataFrame:
     """Documents that hold the query words next to each other, in order, in one field."""
-    found = factors(corpus, batch, runs=True, scored=False)
-    return found.where(F.col("best_run") == F.col("qlen")).select("query_id", *corpus.keys)
+    # Only words that follow the word they follow in the query are moved (all of them for a
+    # query of one word); an alignment with every link is the phrase. Partitioned by
+    # document, alignments and documents are counted after one shuffle.
+    terms = batch.terms.select("query_id", "qpos", "term", "before", "qlen")
+    words = positions(corpus, previous=True)
+    hits = join_by_term(words, terms, batch.small, list(corpus.keys))
+    linked = (F.col("qlen") == 1) | ((F.col("qpos") > 0) & (F.col("previous") == F.col("before")))
+    rows = hits.where(F.coalesce(linked, F.lit(False))).select(
+        "query_id",
+        *corpus.keys,
+        "field_no",
+        (F.col("pos") - F.col("qpos")).alias("anchor"),
+        "qlen",
+    )
+    found = rows.repartition("query_id", *corpus.keys).groupBy(
+        "query_id", *corpus.keys, "field_no", "anchor"
+    )
+    counted = found.agg(F.count(F.lit(1)).alias("n"), F.max("qlen").alias("qlen"))
+    whole = counted.where(F.col("n") == F.greatest(F.col("qlen") - 1, F.lit(1)))
+    return whole.select("query_id", *corpus.keys).distinct()
 
 
 def match_fullscan(corpus: Corpus, query_id: int = 0) -> DataFrame:

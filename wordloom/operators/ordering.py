@@ -40,9 +40,11 @@ def _direct(column: Column, desc: bool) -> Column:
     return column.desc_nulls_last() if desc else column.asc_nulls_last()
 
 
-def relevance() -> Order:
-    """Best weight first."""
-    return [_direct(F.col("weight"), True)]
+def relevance(df: DataFrame | None = None) -> Order:
+    """Best weight first. Where ``df`` has the exact ``bm25`` beside a weight that packs it
+    into 32 bits, it decides between weights that the packing made equal."""
+    exact = [_direct(F.col("bm25"), True)] if df is not None and "bm25" in df.columns else []
+    return [_direct(F.col("weight"), True), *exact]
 
 
 def attribute(attr: str, desc: bool = True) -> Order:
@@ -133,12 +135,13 @@ def page(
     keys: Sequence[str] = ("doc_id",),
     bound: int = 0,
 ) -> DataFrame:
-    """Rows offset+1 .. offset+limit per query in order, within ``max_matches``."""
+    """Rows offset+1 .. offset+limit per query in order. A caller may name a ``bound``: the
+    page then lies within the best ``bound`` rows per query. Unless named, there is none."""
     if not 0 <= offset < PAGE_BOUND:
         raise ValueError("offset out of range")
     if not 0 < limit < PAGE_BOUND:
         raise ValueError("limit out of range")
-    last = min(offset + limit, bound or DEFAULT_MAX_MATCHES)
+    last = min(offset + limit, bound) if bound else offset + limit
     if offset >= last:
         return df.withColumn("rank", F.lit(0)).where(F.lit(False))
     best = best_rows(df, order or relevance(), last, keys)

@@ -107,6 +107,17 @@ def expression_factors(df: DataFrame, weights: list[int]) -> DataFrame:
     )
 
 
+# What the packed rankers multiply a field weight by, at most, per word of a run.
+PACKED = {"proximity_bm25": 1, "boosted": 7}
+
+
+def _check_packed(name: str, weights: list[int], batch: QueryBatch) -> None:
+    """Refuse field weights whose major part could leave its 31 bits."""
+    most = sum(abs(w) for w in weights) * PACKED[name] * max(1, batch.max_len)
+    if most >= 1 << 31:
+        raise ValueError("field weights too large for a packed weight")
+
+
 def ranked(
     corpus: Corpus,
     batch: QueryBatch,
@@ -118,12 +129,14 @@ def ranked(
     stats: Corpus | None = None,
     k1: float = K1,
     b: float = B,
+    exact: bool = False,
 ) -> DataFrame:
     """(query_id, keys, carried attributes, weight) of the matches by words or phrase.
 
     One factor table serves the selection and the weight: a document holds all
     words when its matched words are the query's, and the phrase when its longest
-    run is the query's length.
+    run is the query's length. With ``exact`` the rankers that pack BM25 into the low 32
+    bits also give it whole, as ``bm25``, for ``relevance`` to order by.
     """
     name = code_name(RANKERS, ranker)
     needs = NEEDS[name]
@@ -147,8 +160,11 @@ def ranked(
     weights = field_weight_list(corpus, field_weights)
     if name == "expr":
         table = expression_factors(table, weights)
+    if name in PACKED:
+        _check_packed(name, weights, batch)
     weight = weight_column(name, weights, expr).alias("weight")
-    return table.select("query_id", *corpus.keys, *carry, weight)
+    whole = ["bm25"] if exact and name in PACKED else []
+    return table.select("query_id", *corpus.keys, *carry, weight, *whole)
 
 
 def rank_proximity_bm25(
@@ -157,6 +173,7 @@ def rank_proximity_bm25(
     """Weighted longest runs in the high 32 bits, BM25 in the low 32. Keeps both parts."""
     table = factors(corpus, batch, runs=True, scored=True)
     weights = field_weight_list(corpus, field_weights)
+    _check_packed("proximity_bm25", weights, batch)
     return table.select(
         "query_id",
         *corpus.keys,

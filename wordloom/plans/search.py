@@ -7,15 +7,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from wordloom.codes import DEFAULT_LIMIT, DEFAULT_MAX_MATCHES, DEFAULT_OFFSET, MATCH_MODES, code_name
+from wordloom.codes import (
+    DEFAULT_LIMIT,
+    DEFAULT_MAX_MATCHES,
+    DEFAULT_OFFSET,
+    MATCH_MODES,
+    RANKERS,
+    code_name,
+)
 from wordloom.operators.attributes import override, select
 from wordloom.operators.clauses import ClauseBatch, match_boolean, match_extended, ranking_batch
 from wordloom.operators.filters import Filter, apply_filters, filter_id_range
-from wordloom.operators.grouping import GROUP_SORT, group_by, page_groups
+from wordloom.operators.grouping import GROUP_SORT, group_best, group_by, page_groups
 from wordloom.operators.matching import match_fullscan
 from wordloom.operators.ordering import Order, cutoff, page, relevance
-from wordloom.operators.ranking import Weights, apply_index_weights, ranked
-from wordloom.sizing import checkpointed, few, hint, join_by_term, measure
+from wordloom.operators.ranking import Weights, apply_index_weights, rank_none, ranked
+from wordloom.sizing import bounded, checkpointed, hint, join_by_term
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
 
@@ -42,19 +49,23 @@ class SearchResult:
 
 
 def result_matches(
-    corpus: Corpus, best: DataFrame, items: Sequence[str] = ("*",), rows: int | None = None
+    corpus: Corpus,
+    best: DataFrame,
+    items: Sequence[str] = ("*",),
+    rows: int | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Attributes of the ranked page, joined last.
 
     A page has at most ``rows`` rows; when that bound is small it is broadcast and
-    the corpus scanned in place, reading keys and attributes only.
+    the corpus scanned in place, reading keys and attributes only. Otherwise Spark
+    chooses the join from the sizes that it meets.
     """
     missing = [a for a in corpus.attrs if a not in best.columns]
     if missing:
-        small = few(rows) if rows is not None else measure(best).small
         documents = corpus.df.select(*corpus.keys, *missing)
-        best = documents.join(hint(best, small), list(corpus.keys))
-    front = ["query_id", "rank", *corpus.keys, "weight"]
+        best = documents.join(hint(best, bounded(best, rows)), list(corpus.keys))
+    front = ["query_id", "rank", *extra, *corpus.keys, "weight"]
     best = best.select(*front, *corpus.attrs)
     if list(items) == ["*"]:
         return best
@@ -66,14 +77,17 @@ def result_summary(
 ) -> DataFrame:
     """Per query: total_found matches (or groups), total kept, and its comment.
 
-    Matches are counted on the map side; a query without matches has zeros.
+    Matches are counted on the map side; a query without matches has zeros. A batch's own
+    status and message of each query come along.
     """
     counts = matches.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
     found = F.coalesce("n", F.lit(0))
+    known = [c for c in ("status", "message") if c in info.columns]
     return info.join(counts, "query_id", "left").select(
         "query_id",
         F.least(found, F.lit(bound)).alias("total"),
         found.alias("total_found"),
+        *known,
         "comment",
     )
 
@@ -117,11 +131,16 @@ def search(
     from the whole corpus. Attributes named in ``carry`` travel with the words
     because a sort, group, override or rank expression reads them per match; all
     others are joined to the final page. ``sort`` is an order or a function of the
-    matches giving one. ``keep`` checkpoints the weighted matches in the folder the
+    matches giving one. A ``group`` with a ``sort`` or ``items`` gives per group the match that
+    comes first in that order, with its attributes; ``group`` alone gives the match of best
+    weight. A page beyond ``max_matches`` is an error. ``keep`` checkpoints the weighted matches in the folder the
     session names, so the page, the totals and a lost executor do not repeat the
     pass over the texts.
     """
     mode = code_name(MATCH_MODES, mode)
+    bound = max_matches or DEFAULT_MAX_MATCHES
+    if offset + limit > bound:
+        raise ValueError(f"offset + limit is beyond max_matches ({bound})")
     changed = dict(overrides or {})
     late = [f for f in filters if getattr(f, "attr", None) in changed]
     early = [f for f in filters if f not in late]
@@ -136,6 +155,10 @@ def search(
     keys = ["query_id", *corpus.keys]
     if mode == "fullscan":
         matches = match_fullscan(chosen).select(*keys, *carried, "weight")
+    elif by_clause and code_name(RANKERS, ranker) == "none":
+        # Nothing to weigh: the texts are split once, for the clauses.
+        select_by = match_boolean if mode == "boolean" else match_extended
+        matches = rank_none(select_by(chosen, queries, carried))
     else:
         found_by_words = ranked(
             chosen,
@@ -146,6 +169,7 @@ def search(
             rank_expr,
             () if by_clause else carried,
             stats=corpus if early or id_range != (0, 0) else None,
+            exact=True,
         )
         if by_clause:
             select_by = match_boolean if mode == "boolean" else match_extended
@@ -162,15 +186,21 @@ def search(
     if keep:
         matches = checkpointed(matches)
 
-    bound = max_matches or DEFAULT_MAX_MATCHES
-    if group is not None:
+    order = sort(matches) if callable(sort) else sort or relevance(matches)
+    rows = limit * (batch.queries if batch is not None else 1)
+    if group is not None and (sort is not None or list(items) != ["*"]):
+        if group.distinct:
+            raise ValueError("a distinct count does not go with a sort or select list")
+        found = group_best(matches, group.attr, group.func, order, corpus.keys)
+        best = page_groups(found, group.groupsort, offset, limit, bound)
+        names = [c for c in ("group_key", "group_key2", "count") if c in best.columns]
+        paged = result_matches(corpus, best, items, rows, names)
+    elif group is not None:
         found = group_by(matches, group.attr, group.func, group.distinct, keys=corpus.keys)
         paged = page_groups(found, group.groupsort, offset, limit, bound)
     else:
         found = matches
-        order = sort(matches) if callable(sort) else sort or relevance()
         best = page(matches, offset, limit, order, corpus.keys, bound)
-        rows = limit * (batch.queries if batch is not None else 1)
         paged = result_matches(corpus, best, items, rows)
     info = _one_query(corpus) if batch is None else batch.info
     return SearchResult(

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -31,6 +30,15 @@ def few(rows: int) -> bool:
     return rows <= BROADCAST_ROWS
 
 
+def bounded(df: DataFrame, rows: int | None) -> bool:
+    """Whether ``df``, of at most ``rows`` rows, is proven small in rows and bytes. Columns
+    of no fixed width prove nothing, and no bound neither: then Spark chooses the join."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if rows is None or not all(isinstance(f.dataType, fixed) for f in df.schema.fields):
+        return False
+    return Size(rows, rows * 16 * (1 + len(df.columns))).small
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Estimated width of a row: 8 per fixed-width column, real length of the others."""
     width: Column = F.lit(8).cast("bigint")
@@ -58,8 +66,16 @@ def hint(df: DataFrame, small: bool) -> DataFrame:
 
 
 def join_by_key(big: DataFrame, side: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join on a key that is unique in ``side``, so no key of the output is hot."""
-    return big.join(hint(side, measure(side).small), on, how)
+    """Join on a key that is unique in ``side``, so no key of the output is hot.
+
+    One aggregate measures the side and verifies that the key is unique.
+    """
+    row = side.agg(
+        F.count(F.lit(1)), F.sum(row_bytes(side)), F.count_distinct(F.struct(*on))
+    ).first()
+    if row[0] != row[2]:
+        raise ValueError(f"a key of {on} occurs twice")
+    return big.join(hint(side, Size(row[0], row[1] or 0).small), on, how)
 
 
 def join_by_term(
@@ -73,8 +89,9 @@ def join_by_term(
     """
     if small:
         return words.join(F.broadcast(terms), "term", how)
-    salted = words.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    repeated = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = words.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    repeated = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, ["term", "salt"], how).drop("salt")
 
 

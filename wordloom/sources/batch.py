@@ -18,8 +18,8 @@ MASK_BITS = 62
 class QueryBatch:
     """Many queries answered in one pass.
 
-    ``info`` has one row per query: query_id, comment, qlen, n_terms (distinct
-    words) and ``list``, its words in order. ``small`` says that the words were
+    ``info`` has one row per query: query_id, comment, status and message (see
+    ``validate_queries``), qlen, n_terms (distinct words) and ``list``, its words in order. ``small`` says that the words were
     measured and may be broadcast; ``max_len`` is the longest query and ``queries``
     their number.
     """
@@ -76,9 +76,18 @@ def query_batch(queries: DataFrame) -> QueryBatch:
         F.col("query_id").cast("bigint").alias("query_id"),
         comment.alias("comment"),
         words("text").alias("list"),
+        F.col("text").isNull().alias("missing"),
     ).select(
         "query_id",
         "comment",
+        F.when(F.col("missing"), "error")
+        .when(F.size("list") == 0, "warning")
+        .otherwise("ok")
+        .alias("status"),
+        F.when(F.col("missing"), "query text is missing")
+        .when(F.size("list") == 0, "query has no words")
+        .otherwise("")
+        .alias("message"),
         F.size("list").alias("qlen"),
         F.size(F.array_distinct("list")).alias("n_terms"),
         "list",
@@ -86,8 +95,14 @@ def query_batch(queries: DataFrame) -> QueryBatch:
     # Width of a row of ``terms``: six columns of 8 bytes, the row header and two words.
     length = 2 * F.octet_length(F.array_join("list", "")) + 64 * F.col("qlen")
     row = info.agg(
-        F.count(F.lit(1)), F.sum("qlen"), F.sum(length.cast("bigint")), F.max("qlen")
+        F.count(F.lit(1)),
+        F.sum("qlen"),
+        F.sum(length.cast("bigint")),
+        F.max("qlen"),
+        F.count_distinct(F.struct("query_id")),
     ).first()
+    if row[0] != row[4]:
+        raise ValueError("a query_id occurs twice")
     return QueryBatch(
         info=info,
         small=Size(row[1] or 0, row[2] or 0).small,
