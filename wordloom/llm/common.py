@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +22,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand long texts to Python in batches of ``rows``, and see that Python workers find
-    this package; a job calls this once."""
+    """Hand texts to Python in batches of ``rows`` and of ``BATCH_BYTES`` at most, and see
+    that Python workers find this package; a job calls this once."""
     spark.conf.set(ARROW_ROWS, str(rows))
+    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
     context = spark.sparkContext
     name = f"wordloom-{context.applicationId}.zip"
     if not any(path.endswith(name) for path in context.listFiles):
