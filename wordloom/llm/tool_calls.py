@@ -142,7 +142,10 @@ def _linked(messages: DataFrame) -> DataFrame:
         F.col("call.part").alias("call_part"),
         F.col("result.row").alias("result_row"),
     )
-    joined = parts.join(first, ["conv", "call_id"], "left")
+    # Parts without an identifier meet no key, which so many would make hot.
+    joined = named.join(first, ["conv", "call_id"], "left").unionByName(
+        parts.where("call_id = ''"), allowMissingColumns=True
+    )
     call, result = F.col("kind") == "call", F.col("kind") == "result"
     status = (
         F.when(~call & ~result, "message")
