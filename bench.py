@@ -32,10 +32,12 @@ HEADLINE = [
     "e1_relevance",
     "g6_attrpair",
     "g7_multi_value",
+    "g8_group_best",
     "g9_distinct",
     "i2_update_scalar",
     "j1_batch_search",
     "j1_default_search",
+    "j2_match_result",
     "j4_word_stats",
     "l2_excerpts",
 ]
