@@ -1,29 +1,30 @@
 """Token ids of whole texts by the tokenizers library, with a bounded memory of words.
 
 The vocabulary lower-cases, drops white space and never joins across it, so the ids of a
-text are those of its words in order. A text is cut at blank, tab and line ends, and the ids
-of each word are kept as bytes. A word of printable ASCII and Latin letters, which the
+text are those of its words in order. A text of printable ASCII and Latin letters, which the
 vocabulary's normal form leaves as they are but for their case, is cut by the vocabulary's own
-pattern, and the parts go to its merges; any other word goes through the library's whole chain.
+pattern, the parts go to its merges, and their ids are remembered as bytes. Any other text is
+cut at blanks, tabs and line ends; its words go the same way where they can, and otherwise
+through the library's whole chain.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-WORDS = 250_000
-PARTS_KEPT = 600_000
+WORDS = 100_000
+PARTS_KEPT = 800_000
 LONGEST = 40
 
-# Printable ASCII and the letters from U+00C0 to U+00FF.
-PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# Printable ASCII, the letters from U+00C0 to U+00FF, and the blanks between words.
+PLAIN = re.compile("[ \n\t\r!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 # The vocabulary's own split pattern over them in lower case.
 _LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
-PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+")
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^ \n\t\r{_LETTER}0-9]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -35,6 +36,10 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Memory(dict):
     """Ids of words as little-endian unsigned 32-bit numbers; emptied when it is full."""
 
@@ -61,20 +66,27 @@ class TokenIds:
         self.word = Memory(self._word, WORDS)
 
     def _part(self, part: str) -> bytes:
-        return np.array([x.id for x in self.merges.tokenize(part.translate(self.letters))], "<u4").tobytes()
+        if not part.isascii():
+            part = part.translate(self.letters)
+        return packed([x.id for x in self.merges.tokenize(part)])
+
+    def _plain(self, text: str) -> bytes | None:
+        if "<|" in text or not PLAIN.fullmatch(text):
+            return None
+        return b"".join(map(self.part.__getitem__, PARTS.findall(text.lower())))
 
     def _word(self, word: str) -> bytes:
-        if not word:
-            return b""
-        if PLAIN.fullmatch(word) and "<|" not in word:
-            parts = PARTS.findall(word.lower())
-            return b"".join(map(self.part.__getitem__, parts))
-        ids = self.whole.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        ids = self._plain(word)
+        if ids is None:
+            ids = packed(self.whole.encode(word, add_special_tokens=False).ids)
+        return ids
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        ids = self._plain(text)
+        if ids is not None:
+            return ids
         for space in "\n\t\r":
             text = text.replace(space, " ")
         return b"".join(map(self.word.__getitem__, text.split(" ")))
