@@ -176,3 +176,23 @@ def test_prepared_corpus_gives_the_same(spark, docs, batch, tmp_path):
     queries = batch("the red fox", "été")
     one = sorted(map(tuple, rank_proximity_bm25(docs, queries).collect()))
     assert one == sorted(map(tuple, rank_proximity_bm25(again, queries).collect()))
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "int", "bigint", "array<double>", "array<int>"])
+@pytest.mark.parametrize("exclude", [False, True])
+def test_lists_and_tables_of_values_agree(spark, monkeypatch, kind, exclude):
+    plain = [None, 2, 3, 0, -5] + ([2.5, -0.5] if "double" in kind or "float" in kind else [])
+    rows = [(i, [v] if "array" in kind and v is not None else v) for i, v in enumerate(plain)]
+    cast = [(i, v) if v is None or "int" in kind else
+            (i, [float(x) for x in v] if isinstance(v, list) else float(v)) for i, v in rows]
+    df = spark.createDataFrame(cast, f"id long, a {kind}")
+    wanted = [2, 0, 7, 2**40, None]
+    table = spark.createDataFrame([(v,) for v in wanted], "v bigint")
+    listed = [v for v in wanted if v is not None]
+    ids = lambda found: sorted(r.id for r in found.collect())
+    by_list = ids(fl.filter_values(df, "a", listed, exclude))
+    assert ids(fl.filter_values(df, "a", table, exclude)) == by_list
+    monkeypatch.setattr(fl, "LISTED", 1)
+    assert ids(fl.filter_values(df, "a", listed, exclude)) == by_list
+    hits = {i for i, v in enumerate(plain) if v in (2, 0)}
+    assert by_list == sorted(hits if not exclude else set(range(len(plain))) - hits)
