@@ -61,8 +61,9 @@ def problem(value: object, schema: dict, at: str = "$") -> str | None:
     kinds = schema.get("type")
     if kinds is not None:
         kinds = [kinds] if isinstance(kinds, str) else kinds
+        number = not isinstance(value, bool)  # to Python a boolean is an integer
         fits = any(
-            isinstance(value, TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number"))
+            isinstance(value, TYPES[k]) and (number or k not in ("integer", "number"))
             for k in kinds
         )
         if not fits:
@@ -159,8 +160,8 @@ def _linked(messages: DataFrame) -> DataFrame:
     return stored(joined.withColumn("status", status), "linked")
 
 
-def _needs(parts: DataFrame) -> DataFrame:
-    """``row, on``: which row must come before which, and calls that cannot be used."""
+def _needs(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``row, on``: which row must come before which; ``row, bad_uses``: calls named in vain."""
     call = F.col("kind") == "call"
     answered = parts.where((F.col("kind") == "result") & F.col("call_row").isNotNull())
     by_call = answered.select("row", F.col("call_row").alias("on"))
@@ -240,7 +241,8 @@ def format_conversations(messages: DataFrame, schemas: dict[str, dict]) -> DataF
             if k == "call":
                 value, wrong = check(n, a, schemas)
                 function = {"name": n, "arguments": value}
-                body = {"role": r, "tool_calls": [{"id": i, "type": "function", "function": function}]}
+                call = {"id": i, "type": "function", "function": function}
+                body = {"role": r, "tool_calls": [call]}
             elif k == "result":
                 body = {"role": "tool", "tool_call_id": i, "content": t}
             problems.append(wrong)
