@@ -2,8 +2,9 @@
 
 Large-star and small-star rounds (Kiveris et al. 2014): every round hangs the neighbours of
 a node on their smallest one, until the edges are stars. A node with very many edges is a hot
-key of a join only, whose partitions Spark splits; the smallest neighbour is combined before
-it is shuffled. Every round is stored, so no round repeats an earlier one.
+key of a join only; the smallest neighbour is combined before it is shuffled, and stored, so
+that both sides of the join are plain shuffles whose partitions Spark splits. Every round is
+stored too, so no round repeats an earlier one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node hangs on the smallest of them and the node."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+    least = stored(least.select("a", F.least("a", "m").alias("m")), "least")
     return (
         both.join(least, "a")
         .where(F.col("b") > F.col("a"))
@@ -33,7 +34,7 @@ def _large(edges: DataFrame) -> DataFrame:
 
 def _small(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours hang on the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     others = edges.join(least, "a").where(F.col("b") != F.col("m"))
     return least.select("a", F.col("m").alias("b")).unionByName(
         others.select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -226,13 +226,15 @@ def near_duplicates(
     if sum(layout) != 64:
         raise ValueError("the blocks of a layout hold 64 bits together")
     own = stored(fingerprints(docs.select("doc_id", *carry, "text"), shingle, seed), "prints")
-    each = own.groupBy("print").agg(F.min("doc_id").alias("least"))
+    # Sides that many rows of one key meet are stored, so that Spark can split those rows.
+    each = stored(own.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-prints")
     hung = components(links(each.select("print"), distance, layout))
     rooted = each.join(hung, each["print"] == hung["node"], "left").select(
         "print", F.coalesce("root", "print").alias("root"), "least"
     )
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(groups, "root").select("print", "component_id")
+    rooted = stored(rooted, "rooted")
+    groups = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "groups")
+    named = stored(rooted.join(groups, "root").select("print", "component_id"), "named")
     return own.join(named, "print").select("doc_id", "print", "component_id", *carry)
 
 
