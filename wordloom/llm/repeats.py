@@ -374,7 +374,8 @@ def repeated_ranges(
         F.array((F.col("one.size") + (length - 1)).cast("int")).alias("high"),
     )
     # A content that repeats whole needs no other finding.
-    parts = indexed.unionByName(counted).join(whole.select("gram", "body"), ["gram", "body"], "left_anti")
+    name = ["gram", "body"]
+    parts = indexed.unionByName(counted).join(whole.select(*name), name, "left_anti")
     ranges = stored(whole.unionByName(parts), "ranges")
     placed = found.join(ranges, ["gram", "body"]).select(
         "doc_id",
