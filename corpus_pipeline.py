@@ -23,9 +23,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of three lines or more go, and documents that lose every line."""
+    """Later repeats of runs of three lines or more, or of 50 words or more, go, and documents
+    that lose every line."""
     small_batches(spark)
-    cut = line_dedup.dedup_lines(docs, min_run=3)
+    cut = line_dedup.dedup_lines(docs, min_run=3, min_words=50)
     emptied = (F.col("n_deleted") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     return cut.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 

@@ -66,6 +66,21 @@ def test_every_run_has_a_selected_gram():
     assert sorted(starts) == list(range(197))
 
 
+def test_dedup_by_words(frame):
+    """Passages of fifty words go also where they stand on one or two lines."""
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    one, two, short = words(1, 50), f"{words(2, 30)}\n\n{words(3, 20)}", words(4, 49)
+    rows = [(1, one), (2, f"own a\n {one}\nown b"), (3, f"own c\n{two}"), (4, f"{two}\nown d")]
+    rows += [(5, f"own e\n{short}"), (6, f"{short}\nown f"), (7, f"{words(2, 30)}\nown g")]
+    rows += [(8, f"{words(5, 60)}\n{words(5, 60)}"), (9, f"x\n{one}\ny"), (10, f"x\n{one}\nz")]
+    got = line_dedup.dedup_lines(frame(rows), 3, min_words=50)
+    assert {r.doc_id: (r.text, r.n_deleted) for r in got.collect()} == {
+        1: (one, 0), 2: ("own a\nown b", 1), 3: (f"own c\n{two}", 0), 4: ("own d", 2),
+        5: (f"own e\n{short}", 0), 6: (f"{short}\nown f", 0), 7: (f"{words(2, 30)}\nown g", 0),
+        8: (words(5, 60), 1), 9: ("x\ny", 1), 10: ("z", 2),
+    }
+
+
 def test_dedup_empty(frame):
     assert line_dedup.dedup_lines(frame([])).collect() == []
 

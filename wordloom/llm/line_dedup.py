@@ -5,7 +5,8 @@ them. Every ``GRAM`` neighbouring hashes give a gram; of every window that spans
 lines the smallest gram is selected. A run of ``min_run`` lines that occurs twice selects the
 same gram in both places, so every such run is found from the selected grams alone. Only
 grams selected twice or more are followed up: their positions are joined, and each is extended
-to the runs on either side that it was selected for. Of equal runs the first one stays (by
+to the runs on either side that it was selected for. With ``min_words`` a repeated run of fewer
+lines counts too if it holds that many words: every such run is its own gram. Of equal runs the first one stays (by
 ``doc_id``, then text, then line); every later one is deleted, and runs that overlap or touch
 are one longer deleted run. A blank line between two deleted lines goes with them.
 
@@ -36,6 +37,7 @@ LINES = pa.schema(
         ("doc_id", pa.int64()),
         ("key", pa.binary()),
         ("gram", pa.int64()),
+        ("lines", pa.int32()),
         ("starts", pa.list_(pa.int32())),
         ("runs", pa.list_(pa.binary())),
     ]
@@ -63,8 +65,21 @@ def select(hashes: np.ndarray, min_run: int) -> Iterator[tuple[int, np.ndarray]]
         yield int(grams[place].view(np.int64)), np.flatnonzero(chosen == place)
 
 
-def fingerprints(docs: DataFrame, min_run: int) -> DataFrame:
-    """A row per document and selected gram, with the runs it was selected for."""
+def wordy(
+    hashes: np.ndarray, words: np.ndarray, min_run: int, min_words: int
+) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Runs of fewer than ``min_run`` lines with ``min_words`` words or more: a gram of their
+    own, their lines and their start."""
+    reach = np.r_[0, np.cumsum(words)]
+    for width in range(1, min(min_run - 1, len(hashes)) + 1):
+        for start in np.flatnonzero(reach[width:] - reach[:-width] >= min_words):
+            gram = xxhash.xxh3_64_intdigest(hashes[start : start + width].tobytes(), seed=width)
+            yield int(np.uint64(gram).view(np.int64)), width, np.array([start])
+
+
+def fingerprints(docs: DataFrame, min_run: int, min_words: int | None = None) -> DataFrame:
+    """A row per document and selected gram, with the runs it was selected for and how many
+    lines they have."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,31 +91,36 @@ def fingerprints(docs: DataFrame, min_run: int) -> DataFrame:
             ):
                 lines = [x for x in map(bytes.strip, text.split(b"\n")) if x]
                 hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], np.uint64)
-                for gram, starts in select(hashes, min_run):
-                    runs = [
-                        xxhash.xxh3_128_digest(hashes[s : s + min_run].tobytes()) for s in starts
-                    ]
-                    rows.append((doc_id, name, gram, starts, runs))
-            columns = zip(*rows) if rows else [[]] * 5
+                found = [(gram, min_run, starts) for gram, starts in select(hashes, min_run)]
+                if min_words is not None:
+                    words = np.array([len(x.split()) for x in lines], np.int64)
+                    found += wordy(hashes, words, min_run, min_words)
+                for gram, n, starts in found:
+                    runs = [xxhash.xxh3_128_digest(hashes[s : s + n].tobytes()) for s in starts]
+                    rows.append((doc_id, name, gram, n, starts, runs))
+            columns = zip(*rows) if rows else [[]] * len(LINES)
             yield table(LINES, **dict(zip(LINES.names, map(list, columns))))
 
     return docs.select("doc_id", key().alias("key"), "text").mapInArrow(
-        each, "doc_id long, key binary, gram long, starts array<int>, runs array<binary>"
+        each,
+        "doc_id long, key binary, gram long, lines int, starts array<int>, runs array<binary>",
     )
 
 
-def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """``doc_id, key, starts``: where later copies of runs begin, by lines that are not
-    blank, for the documents that have any."""
-    every = stored(fingerprints(docs, min_run), "line-grams")
+def repeated_runs(
+    docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = None
+) -> DataFrame:
+    """``doc_id, key, spans``: where later copies of runs begin and how many lines they have,
+    by lines that are not blank, for the documents that have any."""
+    every = stored(fingerprints(docs, min_run, min_words), "line-grams")
     often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     # A gram selected twice in one text gives a row each, so n counts places.
     followed = every.join(often, "gram").select(
-        "doc_id", "key", F.explode(F.arrays_zip("starts", "runs")).alias("r")
+        "doc_id", "key", "lines", F.explode(F.arrays_zip("starts", "runs")).alias("r")
     )
     # Rows equal in id and text are one document.
     placed = followed.select(
-        F.col("r.runs").alias("run"), "doc_id", "key", F.col("r.starts").alias("start")
+        F.col("r.runs").alias("run"), "doc_id", "key", F.col("r.starts").alias("start"), "lines"
     ).distinct()
     first = placed.groupBy("run").agg(
         F.min(F.struct("doc_id", "key", "start")).alias("first"), F.count(F.lit(1)).alias("n")
@@ -108,49 +128,54 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     first = first.where("n > 1").select("run", "first")
     own = F.struct("doc_id", "key", "start")
     later = placed.join(first, "run").where(~own.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "key").agg(F.collect_set("start").alias("starts"))
+    return later.groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("start", "lines")).alias("spans")
+    )
 
 
-def without(text: str, starts: np.ndarray, min_run: int) -> tuple[str, int]:
-    """``text`` without the runs that begin at ``starts``, and how many lines went."""
+def without(text: str, spans: list[dict]) -> tuple[str, int]:
+    """``text`` without the runs at ``spans``, and how many lines went."""
     lines = text.split("\n")
     full = [i for i, x in enumerate(lines) if x.encode().strip()]
     gone = np.zeros(len(full), bool)
-    for start in starts:
-        gone[start : start + min_run] = True
+    for span in spans:
+        gone[span["start"] : span["start"] + span["lines"]] = True
     drop = {full[i] for i in np.flatnonzero(gone)}
     for i in np.flatnonzero(gone[1:] & gone[:-1]):
         drop.update(range(full[i], full[i + 1]))
     return "\n".join(x for i, x in enumerate(lines) if i not in drop), int(gone.sum())
 
 
-def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = None
+) -> DataFrame:
     """``docs`` with later repeated runs taken out of ``text``, and ``n_deleted``, the number
-    of deleted lines that were not blank."""
+    of deleted lines that were not blank. A run has ``min_run`` lines, or fewer that hold
+    ``min_words`` words together."""
 
     @F.arrow_udf("text string, n long")
-    def shorten(text: pa.Array, starts: pa.Array) -> pa.Array:
+    def shorten(text: pa.Array, spans: pa.Array) -> pa.Array:
         rows = [
-            (t, 0) if s is None or t is None else without(t, s, min_run)
-            for t, s in zip(text.to_pylist(), starts.to_pylist())
+            (t, 0) if s is None or t is None else without(t, s)
+            for t, s in zip(text.to_pylist(), spans.to_pylist())
         ]
         texts, counts = zip(*rows) if rows else ([], [])
         return pa.StructArray.from_arrays(
             [pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["text", "n"]
         )
 
-    later = repeated_runs(docs, min_run).withColumnsRenamed(
-        {"doc_id": "_id", "key": "_key", "starts": "_starts"}
+    later = repeated_runs(docs, min_run, min_words).withColumnsRenamed(
+        {"doc_id": "_id", "key": "_key", "spans": "_spans"}
     )
     same = docs["doc_id"].eqNullSafe(later["_id"]) & (key(docs["text"]) == later["_key"])
-    met = docs.join(later, same, "left").withColumn("_cut", shorten("text", "_starts"))
+    met = docs.join(later, same, "left").withColumn("_cut", shorten("text", "_spans"))
     columns = [
         F.col("_cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns
     ]
     return met.select(*columns, F.col("_cut.n").alias("n_deleted"))
 
 
-#: The digest of ``dedup_lines`` in DuckDB SQL, over documents with unique ids.
+#: The digest of ``dedup_lines`` by lines alone in DuckDB SQL, over documents with unique ids.
 ORACLE = r"""
 WITH raw AS (
   SELECT doc_id, i, lines[i] AS line,
