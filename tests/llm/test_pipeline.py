@@ -62,6 +62,18 @@ def test_planted(spark, frame, tmp_path):
     assert kept == {*range(20), 100, 400}
 
 
+def test_decontamination_by_text(spark, frame, tmp_path):
+    """A clean text that shares its id, or a null, with a contaminated one stays."""
+    item = "the quick brown fox jumps over one lazy dog and then sleeps"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    rows = [(1, "clean a"), (1, f"x {item}"), (None, "clean b"), (None, f"y {item}"), (2, None)]
+    kept = corpus_pipeline.decontamination(spark, frame(rows), str(tmp_path))
+    assert kept.columns == frame(rows).columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(1, "clean a"), (None, "clean b"), (2, None)}
+
+
 def test_empty(spark, frame, tmp_path):
     frame([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(

@@ -110,6 +110,15 @@ def test_keep_one(frame):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_keep_one_of_each_component(frame):
+    """Unrelated texts under one id, or under none, all stay."""
+    r = random.Random(31)
+    text = lambda: " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(30))
+    rows = [(1, text()), (1, text()), (1, text()), (None, text()), (None, text())]
+    kept = simhash.keep_one(frame([*rows, rows[0], rows[3], (2, rows[1][1])]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(rows, key=repr)
+
+
 def test_empty(frame):
     assert simhash.near_duplicates(frame([])).collect() == []
 

@@ -18,6 +18,7 @@ a null ``item_id`` is reported as the empty string; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -43,6 +44,7 @@ SHARDS = pa.schema(
     [
         ("shard", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
+        ("keys", pa.list_(pa.binary())),
         ("sizes", pa.list_(pa.int32())),
         ("terms", pa.binary()),
         ("counts", pa.binary()),
@@ -50,14 +52,15 @@ SHARDS = pa.schema(
     ]
 )
 SHARD_COLUMNS = (
-    "shard long, doc_ids array<long>, sizes array<int>, terms binary, counts binary,"
-    " postings binary"
+    "shard long, doc_ids array<long>, keys array<binary>, sizes array<int>, terms binary,"
+    " counts binary, postings binary"
 )
 HITS = pa.schema(
     [
         ("shard", pa.int64()),
         ("place", pa.int64()),
         ("doc_id", pa.int64()),
+        ("key", pa.binary()),
         ("n_words", pa.int64()),
         ("starts", pa.list_(pa.int64())),
         ("ends", pa.list_(pa.int64())),
@@ -65,8 +68,8 @@ HITS = pa.schema(
     ]
 )
 HIT_COLUMNS = (
-    "shard long, place long, doc_id long, n_words long, starts array<long>, ends array<long>,"
-    " items array<string>"
+    "shard long, place long, doc_id long, key binary, n_words long, starts array<long>,"
+    " ends array<long>, items array<string>"
 )
 
 
@@ -118,6 +121,7 @@ def _shard(
         SHARDS,
         shard=[number],
         doc_ids=[[doc_id for doc_id, _ in docs]],
+        keys=[[hashlib.md5(text).digest() for _, text in docs]],
         sizes=[sizes],
         terms=[b" ".join(names[i] for i in held)],
         counts=[counts[held].astype("<i4").tobytes()],
@@ -152,6 +156,7 @@ class Shard:
     def __init__(self, row: dict) -> None:
         self.number = row["shard"]
         self.doc_ids = row["doc_ids"]
+        self.texts = row["keys"]
         self.sizes = np.array(row["sizes"], np.int64)
         self.bases = np.cumsum(self.sizes + 1) - self.sizes - 1
         self.width = int((self.sizes + 1).sum()) + 1
@@ -251,7 +256,7 @@ def search_index(
     slack: int = 0,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per indexed document: its words, the spans that test windows hit, and the
+    """One row per indexed document: its text's MD5, its words, the spans that test windows hit, and the
     items (as strings) with a matching window."""
 
     def searcher(windows: Windows):
@@ -267,6 +272,7 @@ def search_index(
                         shard=[shard.number] * len(each),
                         place=range(len(each)),
                         doc_id=shard.doc_ids,
+                        key=shard.texts,
                         n_words=shard.sizes,
                         starts=[e[0] for e in each],
                         ends=[e[1] for e in each],
@@ -286,13 +292,14 @@ def search_index(
         every = every.unionByName(part)
     spans = F.flatten(F.collect_list(F.arrays_zip("starts", "ends")))
     return (
-        every.groupBy("shard", "place", "doc_id", "n_words")
+        every.groupBy("shard", "place", "doc_id", "key", "n_words")
         .agg(
             F.array_sort(spans).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         )
         .select(
             "doc_id",
+            "key",
             "n_words",
             F.col("spans.starts").alias("starts"),
             F.col("spans.ends").alias("ends"),
@@ -325,12 +332,14 @@ def benchmark_terms(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[by
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Exact phrase hits of the items' windows in every document: ``doc_id, n_words, n_hit,
-    n_items, items, starts, ends, contaminated``."""
+    """Exact phrase hits of the items' windows in every document: ``doc_id, key, n_words,
+    n_hit, n_items, items, starts, ends, contaminated``; ``key``, the text's MD5, tells rows of
+    one id apart."""
     index = index_documents(docs, benchmark_terms(items))
     hits = search_index(index, items, window)
     return hits.select(
         "doc_id",
+        "key",
         "n_words",
         covered().alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),

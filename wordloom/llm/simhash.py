@@ -213,16 +213,17 @@ def links(prints: DataFrame, distance: int, layout: tuple[int, ...] = LAYOUT) ->
     return cells.groupBy("deal").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(
+def rooted_prints(
     docs: DataFrame,
     shingle: int = 4,
     distance: int = 4,
     seed: int = 42,
     layout: tuple[int, ...] = LAYOUT,
     carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """``doc_id, print, component_id`` and the narrow columns ``carry``: documents whose
-    fingerprints are linked, directly or over others, share the smallest ``doc_id``."""
+) -> tuple[DataFrame, DataFrame]:
+    """The documents' ``doc_id, print`` with the narrow columns ``carry``, and for each distinct
+    print ``print, root, least``: linked prints share the ``root``, which alone names a
+    component, and ``least`` is the smallest ``doc_id`` of the print."""
     if sum(layout) != 64:
         raise ValueError("the blocks of a layout hold 64 bits together")
     own = stored(fingerprints(docs.select("doc_id", *carry, "text"), shingle, seed), "prints")
@@ -232,19 +233,27 @@ def near_duplicates(
     rooted = each.join(hung, each["print"] == hung["node"], "left").select(
         "print", F.coalesce("root", "print").alias("root"), "least"
     )
-    rooted = stored(rooted, "rooted")
+    return own, stored(rooted, "rooted")
+
+
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
+    """``doc_id, print, component_id``: documents whose fingerprints are linked, directly or
+    over others, share the smallest ``doc_id``. ``settings`` are those of ``rooted_prints``."""
+    own, rooted = rooted_prints(docs, **settings)
     groups = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "groups")
     named = stored(rooted.join(groups, "root").select("print", "component_id"), "named")
-    return own.join(named, "print").select("doc_id", "print", "component_id", *carry)
+    return own.join(named, "print").select("doc_id", "print", "component_id")
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """One row of ``docs`` per component: the smallest ``doc_id``, then the smallest hash of
     the text; rows equal in both give one."""
     content = F.md5(F.coalesce("text", F.lit("")))
-    groups = near_duplicates(docs.withColumn("content", content), carry=("content",), **settings)
-    # Null ids do not mix with the others: a component of null ids alone is one group.
-    best = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "content")).alias("b"))
+    texts = docs.withColumn("content", content)
+    own, rooted = rooted_prints(texts, carry=("content",), **settings)
+    # By the root: components of unrelated texts can share their smallest id, or have only nulls.
+    groups = own.join(rooted.select("print", "root"), "print")
+    best = groups.groupBy("root").agg(F.min(F.struct("doc_id", "content")).alias("b"))
     best = best.select(F.col("b.doc_id").alias("_id"), F.col("b.content").alias("_content"))
     wide = docs.withColumn("_own", content)
     same = wide["doc_id"].eqNullSafe(best["_id"]) & (wide["_own"] == best["_content"])
