@@ -84,6 +84,26 @@ def test_templates(spark, frame, site):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_boxes_in_marked_articles(spark, frame):
+    """A box on many pages goes also from inside the article, a shared paragraph stays."""
+    r = random.Random(3)
+    body = lambda n: " ".join("".join(r.choices("abcdefgh", k=7)) for _ in range(n))
+    shared = body(10)
+    box = "<div class='club'><h3>Join our club</h3><p>Ten letters a year</p></div>"
+    author = "<section><ul><li>Staff</li><li>Writes about towns</li></ul></section>"
+    rows, want = [], {}
+    for i in range(40):
+        a, b = body(20), body(30)
+        html = f"<main><article><p>{a}</p>{box}<div><p>{b}</p></div><p>{shared}</p>{author}</article></main>"
+        rows.append((i, "http://h.example.org/", html))
+        want[i] = f"{a}\n{b}\n{shared}"
+    for i in range(40, 44):  # on few pages of its host a box is text
+        rows.append((i, "http://few.example.org/", f"<article><p>{i}</p>{box}</article>"))
+        want[i] = f"{i}\nJoin our club\nTen letters a year"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in extract(pages).collect()} == want
+
+
 def test_empty(spark, frame):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert extract(pages).collect() == []

@@ -6,8 +6,8 @@ advert, notice or comments. Then come templates: every remaining element subtree
 (tags and words), Spark counts the distinct pages of each host that hold it, and subtrees in
 more than ``max_pages`` pages and ``max_share`` of the host's pages are deleted. Copies of an
 article must not make it a template, so pages with the same longest block count as one, and
-inside an element that the page itself marks as the article only subtrees that are all links
-can be templates. What is left of the article (or of the body, where none is marked) is
+inside an element that the page itself marks as the article only boxes (sections, lists, tables)
+and subtrees that are all links can be templates, not the article's own paragraphs and headings. What is left of the article (or of the body, where none is marked) is
 written block by block.
 
 Rows: a null or empty ``html`` gives an empty text; a null ``url`` is a host of its own;
@@ -53,6 +53,8 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Blocks that set their content apart; the others are the text of an article itself.
+BOXES = frozenset("address center details div dl fieldset figure ol section table ul".split())
 ENDS_PARAGRAPH = BLOCKS - {"body", "html", "caption", "option", "optgroup", "legend"}
 PARAGRAPH_SCOPE = frozenset("button td th table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -289,8 +291,10 @@ def only_links(node: Element) -> bool:
 
 def can_repeat(node: Element, free: bool) -> bool:
     """Whether ``node`` can be a template: any block outside a marked article, inside one
-    only blocks of links."""
-    return node.tag in BLOCKS and not node.marked and (free or only_links(node))
+    boxes and blocks of links; paragraphs that articles share are text."""
+    if node.tag not in BLOCKS or node.marked:
+        return False
+    return free or node.tag in BOXES or only_links(node)
 
 
 def tree(node: Element) -> int:
