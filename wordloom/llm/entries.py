@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import grades, line_dedup, line_quality, tool_calls
+from wordloom.llm import byte_bpe, grades, line_dedup, line_quality, tool_calls
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
 from wordloom.llm.extract import extract
@@ -83,6 +83,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, public_tokenizers.path(VOCABULARY), end_id=2)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(tokens, byte_bpe.token_bytes(spark, path)).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -94,6 +106,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_files": op10_token_files,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
