@@ -75,11 +75,11 @@ def splitter(pattern: str, differences: dict[int, str]) -> Callable[[str], list[
     """Cuts a text into the matches that the tokenizer would find. Texts with characters that
     the two libraries class differently are matched on their stand-ins."""
     find = regex.compile(pattern)
-    listed = "".join(regex.escape(chr(c)) for c in sorted(differences))
-    odd = regex.compile(f"[{listed}]") if listed else None
+    odd = {chr(c) for c in differences}
+    far = regex.compile(f"[{min(odd)}-\U0010ffff]") if odd else None
 
     def cut(text: str) -> list[str]:
-        if text.isascii() or odd is None or not odd.search(text):
+        if text.isascii() or not far or not far.search(text) or odd.isdisjoint(text):
             return [m for m in find.findall(text) if m]
         spans = (m.span() for m in find.finditer(text.translate(differences)))
         return [text[a:b] for a, b in spans if a < b]
