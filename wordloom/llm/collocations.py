@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wordloom.llm.blocks import BLOCK_BYTES, Numbers, as_rows, of_row
-from wordloom.llm.common import slices, stored, table
+from wordloom.llm.common import best, slices, stored, table
 
 NUMBER_BITS, BLOCK_BITS = 28, 15
 ROWS_OUT = 100_000
@@ -281,18 +281,6 @@ def _scored(found: DataFrame, length: int) -> DataFrame:
     return found.withColumn("cut", F.array_min(F.array(*cuts)))
 
 
-def _best(rows: DataFrame, top: int, order: list[Column]) -> DataFrame:
-    """The first ``top`` rows of each language, in slices first: one language may have most
-    phrases, and every slice keeps all that could be among the first."""
-    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for slot in (slots, max(1, int(slots**0.5))):
-        slice_of = F.pmod(F.xxhash64("phrase"), F.lit(slot))
-        window = Window.partitionBy("lang", slice_of).orderBy(*order)
-        rows = rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top)
-    window = Window.partitionBy("lang").orderBy(*order)
-    return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top)
-
-
 def collocations(
     docs: DataFrame, longest: int = 3, least: int = 10, share: int = 50, top: int = 2000
 ) -> DataFrame:
@@ -320,9 +308,9 @@ def collocations(
     rows = kept[0]
     for more in kept[1:]:
         rows = rows.union(more)
-    best = _best(rows, top, [F.desc("score"), F.desc("a"), F.asc("phrase")])
+    ranked = best(rows, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], top)
     rank = F.col("rank").cast("long").alias("rank")
-    return best.join(langs, "lang").select("lang", rank, "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(langs, "lang").select("lang", rank, "phrase", "a", "l", "r", "n", "score")
 
 
 ORACLE = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import byte_bpe, collocations, grades, line_dedup, line_quality, tool_calls
+from wordloom.llm import byte_bpe, collocations, grades, line_dedup, line_quality, ranked_search, tool_calls
 from wordloom.llm.common import read, small_batches
 from wordloom.llm.decontaminate import decontaminate
 from wordloom.llm.extract import extract
@@ -100,6 +100,12 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    index = ranked_search.index_documents(read(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -113,10 +119,12 @@ QUERIES = {
     "op10_token_files": op10_token_files,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_quality_rules": line_quality.ORACLE,
     "op7_chat_formatting": tool_calls.ORACLE,
     "op12_phrase_collocations": collocations.ORACLE,
+    "op13_ranked_search": ranked_search.ORACLE,
 }
