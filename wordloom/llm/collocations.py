@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wordloom.llm.blocks import BLOCK_BYTES, Numbers, as_rows, of_row
+from wordloom.llm.blocks import Numbers, as_rows, of_row
 from wordloom.llm.common import best, slices, stored, table
 
+BLOCK_BYTES = 8 << 20
 NUMBER_BITS, BLOCK_BITS = 28, 15
 ROWS_OUT = 100_000
 # Numbers 0 and 1 of a block: what stands between two blanks, and a break between pieces.
@@ -145,7 +146,7 @@ def _keep(numbers: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
     """New numbers of the frequent groups (-1 for the others), and their ids."""
     known = numbers["number"].to_numpy()
     order = np.argsort(known)
-    new = np.full(size, -1, np.int64)
+    new = np.full(size, -1, np.int32)
     new[known[order]] = np.arange(len(known))
     return new, numbers["id"].to_numpy()[order]
 
@@ -168,15 +169,14 @@ def _frequent_words(texts: pa.Table, frequent: pa.Table) -> pa.Table:
     return _semi_joined(block, np.arange(len(sequence)), sequence, frequent)
 
 
-def _extended(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Merge-join of a block's relation with itself by neighbouring places: the places, the
-    pair that each holds, the distinct pairs, and the group's ids."""
-    places = np.cumsum(of_row(row["steps"]), dtype=np.int64)
-    groups = of_row(row["groups"]).astype(np.int64)
+def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Merge-join of a block's relation with itself by neighbouring places: where the pairs
+    begin, and the two groups of each as one number."""
+    places, groups = np.cumsum(of_row(row["steps"]), dtype=np.int32), of_row(row["groups"])
     next_to = np.flatnonzero(places[1:] == places[:-1] + 1)
-    pairs = groups[next_to] << 32 | groups[next_to + 1]
-    kinds, number = np.unique(pairs, return_inverse=True)
-    return places[next_to], number, kinds, np.frombuffer(row["ids"], "<i8")
+    pairs = groups[next_to].astype(np.int64) << 32
+    pairs |= groups[next_to + 1]
+    return places[next_to], pairs
 
 
 def _groups(relation: DataFrame) -> DataFrame:
@@ -184,9 +184,10 @@ def _groups(relation: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                _, number, kinds, ids = _extended(row)
-                uses = np.bincount(number, minlength=len(kinds))
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                kinds, uses = np.unique(_pairs(row)[1], return_counts=True)
+                ids = np.frombuffer(row["ids"], "<i8")
                 for a, b in slices(len(kinds), ROWS_OUT):
                     yield table(
                         _GROUPS,
@@ -205,7 +206,8 @@ def _frequent_groups(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     if not len(relation) or not len(frequent):
         return _RELATION.empty_table()
     row = relation.to_pylist()[0]
-    places, number, _, _ = _extended(row)
+    places, pairs = _pairs(row)
+    number = np.searchsorted(np.unique(pairs), pairs)
     return _semi_joined(row["block"], places, number, frequent)
 
 

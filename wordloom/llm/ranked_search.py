@@ -345,11 +345,13 @@ def search(index: Index, items: DataFrame, k: int = 50) -> DataFrame:
 
 
 ORACLE = """
-WITH terms AS (
-  SELECT doc, doc_id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY doc) AS n FROM (
+WITH counted AS (
+  SELECT doc, doc_id, term, count(*) AS tf FROM (
     SELECT doc, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
-    FROM (SELECT row_number() OVER () AS doc, doc_id, text FROM documents)) GROUP BY ALL),
+    FROM (SELECT row_number() OVER () AS doc, doc_id, text FROM documents))
+  GROUP BY doc, doc_id, term),
+terms AS (SELECT *, sum(tf) OVER (PARTITION BY doc) AS n FROM counted),
 sums AS (SELECT count(DISTINCT doc) AS docs, sum(tf)::BIGINT AS words FROM terms),
 dfs AS (SELECT term, count(*) AS df FROM terms GROUP BY term),
 asked AS (
@@ -364,8 +366,8 @@ weights AS (
 scores AS (
   SELECT item, item_id, doc, doc_id, sum(w * ((1000000000 * tf)
     // (1000 * tf + 20 * (100 - 50 + ((50 * n::BIGINT * docs) // words)))))::BIGINT AS score
-  FROM weights JOIN terms USING (term), sums GROUP BY ALL HAVING score > 0)
+  FROM weights JOIN terms USING (term), sums GROUP BY item, item_id, doc, doc_id)
 SELECT item_id, doc_id, score,
   (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank
-FROM scores QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) <= 50
+FROM scores WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) <= 50
 """
