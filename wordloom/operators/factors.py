@@ -41,9 +41,13 @@ def _document_counts(corpus: Corpus, batch: QueryBatch) -> DataFrame:
     """(term, docs, words) of the query words: documents holding each, in one pass.
 
     Each document gives its distinct words and the marker word, whose row so counts
-    all documents and sums their lengths. Sums are made per word before the shuffle.
+    all documents and sums their lengths. Sums are made per word before the shuffle. An index
+    has them stored.
     """
     wanted = batch.words(marker=MARKER).select("term").distinct()
+    if corpus.statistics is not None:
+        known = corpus.statistics.select("term", "docs", "words")
+        return join_by_term(known, wanted, batch.small, ["term"])
     listed = doc_terms(corpus, marker=True)
     found = join_by_term(listed, wanted, batch.small, list(corpus.keys))
     return found.groupBy("term").agg(
@@ -132,6 +136,8 @@ def factors(
     statistics of ``stats`` (the unfiltered corpus; none when ``corpus`` is it).
     """
     group = ["query_id", *corpus.keys, *carry]
+    if corpus.statistics is not None:
+        stats = corpus
     if not runs and not scored and batch.fits_mask and batch.queries <= FEW_QUERIES:
         return _counts(corpus, batch, carry, group)
     n_fields = range(len(corpus.fields))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,6 +25,7 @@ from wordloom.operators.ranking import Weights, apply_index_weights, rank_none,
 from wordloom.sizing import bounded, checkpointed, hint, join_by_term
 from wordloom.sources.batch import QueryBatch
 from wordloom.sources.corpus import Corpus, term_counts
+from wordloom.sources.term_index import TermIndex
 
 CLAUSE_MODES = ("boolean", "extended", "extended2")
 
@@ -147,7 +148,12 @@ def search(
     carried = list(dict.fromkeys([*carry, *changed, *_group_attrs(group)]))
 
     df = apply_filters(filter_id_range(corpus.df, *id_range), early)
-    chosen = Corpus(df, corpus.fields, corpus.attrs, corpus.name, corpus.keys, corpus.prepared)
+    chosen, attached = replace(corpus, df=df), []
+    if isinstance(corpus, TermIndex) and queries is not None:
+        # Postings have no attributes: the matches join the documents that are left.
+        chosen = corpus = corpus.opened(queries.terms)
+        narrowed = bool(early or carried or id_range != (0, 0))
+        carried, attached = [], carried
     by_clause = isinstance(queries, ClauseBatch)
     if by_clause != (mode in CLAUSE_MODES) or (queries is None) != (mode == "fullscan"):
         raise ValueError(f"mode {mode!r} does not take this kind of batch")
@@ -178,6 +184,8 @@ def search(
             matches = matches.withColumn("weight", F.coalesce("weight", F.lit(1)))
         else:
             matches = found_by_words
+    if isinstance(corpus, TermIndex) and queries is not None and narrowed:
+        matches = matches.join(df.select(*corpus.keys, *attached), list(corpus.keys))
     if index_weights:
         matches = apply_index_weights(matches, index_weights)
     for attr, values in changed.items():

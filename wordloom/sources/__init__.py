@@ -12,20 +12,24 @@ from wordloom.sources.corpus import (
     read_parquet,
     save_prepared,
 )
+from wordloom.sources.term_index import TermIndex, load_index, save_index
 from wordloom.sources.tokens import doc_terms, tokens
 
 __all__ = [
     "Corpus",
     "QueryBatch",
+    "TermIndex",
     "corpora",
     "corpus",
     "corpus_status",
     "describe_corpus",
     "doc_terms",
+    "load_index",
     "load_prepared",
     "prepare",
     "query_batch",
     "read_parquet",
+    "save_index",
     "save_prepared",
     "tokens",
     "validate_queries",

@@ -11,6 +11,8 @@ from wordloom.functions.text import words
 from wordloom.sizing import join_by_term
 
 SPREAD_BELOW_BYTES = 256 * 1024 * 1024
+# A word no text can contain: it stands for "the document itself".
+MARKER = ""
 
 
 @dataclass(frozen=True)
@@ -19,7 +21,8 @@ class Corpus:
 
     ``df`` holds the key columns (``doc_id``, and ``index_name`` for a union of
     corpora), the text fields or, once prepared, ``words`` (one word list per
-    field) and ``doc_len``, and the attributes. Keys are unique.
+    field) and ``doc_len``, and the attributes. Keys are unique. ``statistics`` are the stored
+    counts per word (term, docs, words, hits) of an index.
     """
 
     df: DataFrame
@@ -28,6 +31,7 @@ class Corpus:
     name: str = "main"
     keys: tuple[str, ...] = ("doc_id",)
     prepared: bool = False
+    statistics: DataFrame | None = None
 
     def where(self, *conditions: Column) -> "Corpus":
         """The corpus without the documents that fail a condition."""
@@ -158,22 +162,15 @@ def corpus_status(corpus: Corpus) -> DataFrame:
     Words are first counted per word, so no task ever holds the vocabulary; the
     document totals ride along under the empty word, which no text contains.
     """
-    lists = corpus.lists.select("words", "doc_len")
-    marked = F.concat(F.flatten("words"), F.array(F.lit("")))
-    per_word = (
-        lists.select("doc_len", F.explode_outer(marked).alias("term"))
-        .groupBy("term")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.when(F.col("term") == "", F.col("doc_len"))).alias("total"),
+    if corpus.statistics is not None:
+        marker = F.col("term") == MARKER
+        totals = corpus.statistics.agg(
+            F.sum(F.when(marker, F.col("docs"))).alias("documents"),
+            F.coalesce(F.sum("words"), F.lit(0)).alias("tokens"),
+            F.count_if(~marker).alias("terms"),
         )
-    )
-    marker = F.col("term") == ""
-    totals = per_word.agg(
-        F.sum(F.when(marker, F.col("n"))).alias("documents"),
-        F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"),
-        F.count_if(~marker).alias("terms"),
-    )
+    else:
+        totals = _counted_totals(corpus)
     average = F.round(F.col("tokens") / F.col("documents") * 1000, 0).cast("bigint")
     pairs = {
         "documents": F.coalesce("documents", F.lit(0)),
@@ -190,12 +187,35 @@ def corpus_status(corpus: Corpus) -> DataFrame:
     return totals.select(F.inline(rows))
 
 
+def _counted_totals(corpus: Corpus) -> DataFrame:
+    """Documents, tokens and distinct terms, counted in the texts."""
+    lists = corpus.lists.select("words", "doc_len")
+    marked = F.concat(F.flatten("words"), F.array(F.lit(MARKER)))
+    per_word = (
+        lists.select("doc_len", F.explode_outer(marked).alias("term"))
+        .groupBy("term")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.when(F.col("term") == MARKER, F.col("doc_len"))).alias("total"),
+        )
+    )
+    marker = F.col("term") == MARKER
+    return per_word.agg(
+        F.sum(F.when(marker, F.col("n"))).alias("documents"),
+        F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"),
+        F.count_if(~marker).alias("terms"),
+    )
+
+
 def term_counts(corpus: Corpus, terms: DataFrame, small: bool) -> DataFrame:
     """(term, docs, hits) of the given distinct terms, in one pass.
 
     Each document lists its distinct words and then all its words, so both counts
-    are summed before the shuffle and no (document, term) pair is ever moved.
+    are summed before the shuffle and no (document, term) pair is ever moved. An index has them.
     """
+    if corpus.statistics is not None:
+        known = corpus.statistics.select("term", "docs", "hits")
+        return join_by_term(known, terms.select("term").distinct(), small, ["term"])
     flat = corpus.lists.select(*corpus.keys, F.flatten("words").alias("all_words"))
     both = flat.select(*corpus.keys, "all_words", F.array_distinct("all_words").alias("once"))
     listed = both.select(

@@ -6,10 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from wordloom.sources.corpus import Corpus
-
-# A word no text can contain: it stands for "the document itself".
-MARKER = ""
+from wordloom.sources.corpus import MARKER, Corpus
+from wordloom.sources.term_index import TermIndex
 
 
 def positions(
@@ -22,6 +20,8 @@ def positions(
     outer form of explode keeps Spark from adding a filter that would tokenise
     the text a second time; its null row for an empty list never joins a query.
     """
+    if isinstance(corpus, TermIndex):
+        return corpus.positions(carry, marker, previous)
     lists = corpus.lists
     kept = [*corpus.keys, *carry, "doc_len"]
     if len(corpus.fields) == 1:
@@ -61,6 +61,8 @@ def tokens(corpus: Corpus) -> DataFrame:
 
 def doc_terms(corpus: Corpus, carry: Sequence[str] = (), marker: bool = False) -> DataFrame:
     """Each distinct word of each document once: keys, carried attributes, doc_len, term."""
+    if isinstance(corpus, TermIndex):
+        return corpus.doc_terms(carry, marker)
     once = F.array_distinct(F.flatten("words"))
     if marker:
         once = F.concat(once, F.array(F.lit(MARKER)))
