@@ -13,18 +13,23 @@ its words does) or 'not' (it must not hold, by any of its words). ``op`` is one
 
 ``field`` (null for all) restricts a clause to one field. A query without 'must'
 and 'any' clauses starts from all documents.
+
+With a column ``parent`` (the number of a group, null at the top) clauses nest to any depth. A
+group is a row of op ``group`` without a text: 'must' holds when all its members hold, 'any'
+when one does, 'not' when none does; a 'not' clause inside a group holds where none of its
+words occurs. All rows at the top must hold. A group's number is below those of its members.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wordloom.functions.text import words
-from wordloom.sizing import Size, join_by_term, row_bytes
-from wordloom.sources.batch import QueryBatch, query_batch
+from wordloom.sizing import Size, hint, join_by_term, row_bytes
+from wordloom.sources.batch import MASK_BITS, QueryBatch, query_batch
 from wordloom.sources.corpus import Corpus
 from wordloom.sources.tokens import MARKER, doc_terms, positions
 
@@ -32,6 +37,7 @@ KINDS = ("must", "any", "not")
 OPS = ("words", "quorum", "phrase", "near", "start", "end")
 ALIGNED = ("phrase", "start", "end")
 NOWHERE = -(2**30)  # lies before every position by more than any span
+GROUP = "group"
 
 
 @dataclass(frozen=True)
@@ -41,18 +47,133 @@ class ClauseBatch:
     ``terms`` has query_id, clause, kind, op, n, field, qpos, term, first_qpos, term_no
     (among the distinct words), before (the word one position earlier), len (words), need (distinct words that make the
     clause hold) and wanted (clauses of the query that must hold). ``ops`` are the
-    operators in use.
+    operators in use. ``trees`` are the groups of each query, where clauses nest.
     """
 
     terms: DataFrame
     rows: DataFrame
     small: bool
     ops: frozenset[str]
+    trees: "Trees | None" = None
+
+
+@dataclass(frozen=True)
+class Trees:
+    """Nested clauses of each query, whose nodes are numbered members first.
+
+    ``df`` has query_id, ``nots`` (clauses that hold where they are not found), ``steps`` (each
+    group's number, kind and members, innermost first) and ``top`` (what must hold). Sets of
+    nodes are bits of a number where every query has at most 62, otherwise lists.
+    """
+
+    df: DataFrame
+    bits: bool
+    small: bool
+
+    def set_of(self, node: Column) -> Column:
+        """Collects the node numbers of a group of rows; null counts for none."""
+        if self.bits:
+            return F.coalesce(F.bit_or(_bit(node)), F.lit(0).cast("bigint"))
+        return F.collect_set(node)
+
+    def all_in(self, part: Column, whole: Column) -> Column:
+        if self.bits:
+            return part.bitwiseAND(whole) == part
+        return F.size(F.array_except(part, whole)) == 0
+
+    def some_in(self, part: Column, whole: Column) -> Column:
+        return part.bitwiseAND(whole) != 0 if self.bits else F.arrays_overlap(part, whole)
+
+    def holds(self, found: Column) -> Column:
+        """Whether the tree holds where the clauses of the set ``found`` are found."""
+        if self.bits:
+            start = found.bitwiseXOR(F.col("nots"))
+        else:
+            start = F.concat(F.array_except(found, "nots"), F.array_except("nots", found))
+
+        def step(true: Column, group: Column) -> Column:
+            members = group["members"]
+            ok = (
+                F.when(group["kind"] == "must", self.all_in(members, true))
+                .when(group["kind"] == "any", self.some_in(members, true))
+                .otherwise(~self.some_in(members, true))
+            )
+            if self.bits:
+                return F.when(ok, true.bitwiseOR(_bit(group["node"]))).otherwise(true)
+            return F.when(ok, F.concat(true, F.array(group["node"]))).otherwise(true)
+
+        return F.aggregate("steps", start, step, lambda true: self.all_in(F.col("top"), true))
+
+
+def _bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), number)
+
+
+def _trees(rows: DataFrame) -> tuple[DataFrame, Trees, DataFrame]:
+    """The clauses of nested ``rows`` under new numbers, their trees, and the queries that
+    documents without any of their words may match.
+
+    Clauses without words are left out, as in flat queries. Windows are over one query's rows.
+    """
+    query = Window.partitionBy("query_id")
+    kept = rows.where((F.col("op") == GROUP) | (F.size(words("text")) > 0))
+    node = F.row_number().over(query.orderBy(F.desc("clause"))) - 1
+    nodes = kept.withColumn("node", node.cast("int"))
+    above = nodes.where(F.col("op") == GROUP).select(
+        "query_id", F.col("clause").alias("parent"), F.col("node").alias("in")
+    )
+    joined = nodes.join(above, ["query_id", "parent"], "left")
+    lost = F.col("parent").isNotNull() & F.col("in").isNull()
+    checks = joined.agg(
+        F.max("node"),
+        F.count_if(lost),
+        F.count_if(F.col("parent") >= F.col("clause")),
+        F.count(F.lit(1)),
+    ).first()
+    if checks[1]:
+        raise ValueError("a clause names a parent that is no group of its query")
+    if checks[2]:
+        raise ValueError("a group's number must be below those of its members")
+    trees = Trees(nodes, (checks[0] or 0) < MASK_BITS, Size(checks[3], checks[3] * 256).small)
+    members = joined.groupBy("query_id", F.col("in").alias("node")).agg(
+        trees.set_of(F.col("node")).alias("members")
+    )
+    top = members.where(F.col("node").isNull()).select("query_id", F.col("members").alias("top"))
+    groups = nodes.where(F.col("op") == GROUP).join(members, ["query_id", "node"], "left")
+    if not groups.where(F.col("members").isNull()).isEmpty():
+        raise ValueError("a group has no members")
+    steps = groups.groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct("node", "kind", "members"))).alias("steps")
+    )
+    clauses = nodes.where(F.col("op") != GROUP)
+    inverted = F.when((F.col("op") != GROUP) & (F.col("kind") == "not"), F.col("node"))
+    nots = nodes.groupBy("query_id").agg(trees.set_of(inverted).alias("nots"))
+    df = nots.join(top, "query_id").join(steps, "query_id", "left")
+    none = F.array().cast(steps.schema["steps"].dataType)
+    trees = replace(trees, df=df.withColumn("steps", F.coalesce("steps", none)))
+    nothing = F.lit(0).cast("bigint") if trees.bits else F.array().cast("array<int>")
+    anywhere = trees.df.where(trees.holds(nothing)).select("query_id")
+    # Words under a negation do not rank.
+    listed = F.array_sort(F.collect_list(F.struct("clause", "parent", "kind")))
+    negative = F.aggregate(
+        listed,
+        F.array().cast("array<int>"),
+        lambda found, x: F.when(
+            (x["kind"] == "not") | F.coalesce(F.array_contains(found, x["parent"]), F.lit(False)),
+            F.concat(found, F.array(x["clause"])),
+        ).otherwise(found),
+    )
+    negatives = nodes.groupBy("query_id").agg(negative.alias("negative"))
+    ranks = ~F.array_contains("negative", F.col("clause"))
+    leaves = clauses.join(negatives, "query_id").withColumn("ranks", ranks)
+    leaves = leaves.withColumn("clause", F.col("node")).drop("node", "negative", "parent")
+    return leaves, trees, anywhere
 
 
 def clause_batch(clauses: DataFrame) -> ClauseBatch:
-    """Batch from (query_id, clause, kind, text[, op, n, field])."""
+    """Batch from (query_id, clause, kind, text[, op, n, field, parent])."""
     present = clauses.columns
+    nested = "parent" in present
     rows = clauses.select(
         F.col("query_id").cast("bigint").alias("query_id"),
         F.col("clause").cast("int").alias("clause"),
@@ -61,8 +182,10 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
         (F.col("n") if "n" in present else F.lit(None)).cast("int").alias("n"),
         (F.col("field") if "field" in present else F.lit(None)).cast("string").alias("field"),
         "text",
+        *([F.col("parent").cast("int").alias("parent")] if nested else []),
     )
-    empty = (F.col("kind") == "must") & (F.coalesce(F.size(words("text")), F.lit(0)) <= 0)
+    wordless = F.coalesce(F.size(words("text")), F.lit(0)) <= 0
+    empty = (F.col("kind") == "must") & (F.col("op") != GROUP) & wordless
     checks = rows.agg(
         F.count(F.lit(1)), F.count_distinct(F.struct("query_id", "clause")), F.count_if(empty)
     ).first()
@@ -70,6 +193,11 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
         raise ValueError("a clause of a query occurs twice")
     if checks[2]:
         raise ValueError("a clause that must hold has no words")
+    trees = anywhere = None
+    if nested:
+        rows, trees, anywhere = _trees(rows)
+    else:
+        rows = rows.withColumn("ranks", F.col("kind") != "not")
     lists = rows.withColumn("list", words("text")).where(F.size("list") > 0)
     distinct = F.size(F.array_distinct("list"))
     need = (
@@ -81,7 +209,7 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
     # A query with nothing to find gets the marker word, which every document has.
     positive = F.count_if(F.col("kind") != "not")
     base = lists.groupBy("query_id").agg(positive.alias("p")).where(F.col("p") == 0)
-    everything = base.select(
+    everything = (base if anywhere is None else anywhere).select(
         "query_id",
         F.lit(-1).alias("clause"),
         F.lit("must").alias("kind"),
@@ -92,7 +220,7 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
         F.lit(1).alias("len"),
         F.lit(1).alias("need"),
     )
-    lists = lists.drop("text").unionByName(everything)
+    lists = lists.drop("text", "ranks").unionByName(everything)
     wanted = F.count_if(F.col("kind") != "not").over(Window.partitionBy("query_id"))
     exploded = lists.withColumn("wanted", wanted.cast("int")).select(
         "*", F.posexplode_outer("list").alias("qpos", "term")
@@ -116,7 +244,11 @@ def clause_batch(clauses: DataFrame) -> ClauseBatch:
     if row[4]:
         raise ValueError("quorum and near clauses need n >= 1")
     return ClauseBatch(
-        terms=terms, rows=rows, small=Size(row[0], row[1] or 0).small, ops=frozenset(row[2])
+        terms=terms,
+        rows=rows,
+        small=Size(row[0], row[1] or 0).small,
+        ops=frozenset(row[2]),
+        trees=trees,
     )
 
 
@@ -125,7 +257,7 @@ def ranking_batch(clauses: ClauseBatch) -> QueryBatch:
 
     A query with nothing to find has no words.
     """
-    part = F.when(F.col("kind") != "not", F.struct("clause", "text"))
+    part = F.when(F.col("ranks"), F.struct("clause", "text"))
     per_query = clauses.rows.groupBy("query_id").agg(
         F.array_sort(F.collect_list(part)).alias("parts")
     )
@@ -133,8 +265,14 @@ def ranking_batch(clauses: ClauseBatch) -> QueryBatch:
     return query_batch(per_query.select("query_id", text.alias("text")))
 
 
-def _decide(held: DataFrame, found_by: list[str]) -> DataFrame:
-    """Documents where all wanted clauses hold and no 'not' clause does."""
+def _decide(held: DataFrame, found_by: list[str], trees: Trees | None) -> DataFrame:
+    """Documents where all wanted clauses hold and no 'not' clause does, or the query's tree
+    holds: the clauses found become one set per (query, document), the groups follow from it."""
+    if trees is not None:
+        clause = F.when(F.col("holds") & (F.col("clause") >= 0), F.col("clause"))
+        found = held.groupBy(*found_by).agg(trees.set_of(clause).alias("found"))
+        joined = found.join(hint(trees.df, trees.small), "query_id")
+        return joined.where(trees.holds(F.col("found"))).select(*found_by)
     banned = F.col("kind") == "not"
     found = held.groupBy(*found_by).agg(
         F.count_if(F.col("holds") & ~banned).alias("found"),
@@ -165,7 +303,7 @@ def match_boolean(
     held = hits.groupBy(*found_by, "clause", "kind", "wanted").agg(
         (F.count(F.lit(1)) >= F.max("need")).alias("holds")
     )
-    return _decide(held, found_by)
+    return _decide(held, found_by, clauses.trees)
 
 
 def match_extended(
@@ -228,7 +366,7 @@ def match_extended(
         .otherwise(F.count_if(ok) > 0)
         .alias("holds")
     )
-    return _decide(held, found_by)
+    return _decide(held, found_by, clauses.trees)
 
 
 def _within() -> Column:
