@@ -1,13 +1,16 @@
 import base64
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
 import tiktoken
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from wordloom.llm import byte_bpe
+from wordloom.llm.blocks import pack, spread, squeezed, unpack
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 OTHER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -53,14 +56,33 @@ def test_stand_ins_have_the_class_the_tokenizer_sees():
         assert [i for w in cut(text) for i in encoding.encode_ordinary(w)] == encoding.encode_ordinary(text)
 
 
-def test_each_distinct_word_is_merged_once(spark, frame):
-    docs = frame([(i, "same words here " * (i + 1)) for i in range(50)], 7)
-    uses = byte_bpe._uses(docs, PATTERN).cache()
-    words = uses.where(F.col("word").isNotNull())
-    assert words.groupBy("block", "word").count().where("count > 1").count() == 0
-    distinct = {w for t in ["same words here " * 3] for w in regex.findall(PATTERN, t)}
-    assert {r["word"] for r in words.collect()} == distinct
-    uses.unpersist()
+def test_each_distinct_word_is_merged_once(frame, monkeypatch):
+    docs = frame([(i, "same words here " * (i + 1) + "é") for i in range(50)], 7)
+    uses = byte_bpe._uses(docs, PATTERN, 5).where("words is not null").collect()
+    parts = {}
+    for row in uses:
+        for word in unpack(row["words"]):
+            parts.setdefault(word.decode(), []).append((row["part"], row["block"]))
+    assert set(parts) == {w for w in regex.findall(PATTERN, "same words here same words here é")}
+    for found in parts.values():
+        assert len({part for part, _ in found}) == 1  # all uses of a word meet
+        assert len(found) == len(set(found))  # once per block
+
+
+@pytest.mark.parametrize("block_bytes, parts", [(1, 1), (1, 50), (16 << 20, 3)])
+def test_blocks_and_parts_change_nothing(frame, odd, monkeypatch, block_bytes, parts):
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", block_bytes)
+    texts = odd + [(100 + i, t) for i, t in enumerate(hostile(60))]
+    rows = byte_bpe.encode(frame(texts), PATH, PATTERN, parts).collect()
+    assert sorted((r["doc_id"] or -1, ids_of(r)) for r in rows) == sorted(
+        (i or -1, library(PATH).encode_ordinary(t or "")) for i, t in texts
+    )
+
+
+@given(st.lists(st.binary(max_size=9)), st.lists(st.integers(0, 2**32 - 1)))
+def test_packing_goes_both_ways(values, numbers):
+    assert unpack(pack(values)) == values
+    assert spread(squeezed(np.array(numbers, np.int64))).tolist() == numbers
 
 
 def test_decoding_by_shuffle_equals_decoding_in_place(spark, frame, odd):
@@ -85,6 +107,6 @@ def test_empty_table_and_clashing_columns(spark, frame):
     coded = byte_bpe.encode(empty, PATH, PATTERN)
     assert byte_bpe.decode(coded, byte_bpe.token_bytes(spark, PATH)).count() == 0
     docs = frame([(1, "some words")])
-    for name in ("block", "places", "word", "number", "ids", "decoded", "row", "id", "bytes"):
+    for name in ("block", "places", "words", "part", "of", "ids", "decoded", "row", "id", "bytes"):
         docs = docs.withColumn(name, F.lit("clash"))
     assert ids_of(byte_bpe.encode(docs, PATH, PATTERN).first()) == library(PATH).encode_ordinary("some words")

@@ -8,11 +8,9 @@ hot key. The numbers of a text are kept as little-endian 32-bit integers.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import zstandard
 
 BLOCK_BYTES = 16 << 20
 
@@ -43,19 +41,29 @@ class Numbers:
         return len(self.known) - len(words), words
 
 
-def blocks(
-    batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], int]
-) -> Iterator[tuple[int, Numbers, pa.RecordBatch]]:
-    """The batches of a task, each with its block's id and numbering. An id is the partition
-    and a count, unique within one run; what is keyed by it must be stored once."""
-    block, used, numbers = TaskContext.get().partitionId() << 32, 0, Numbers()
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if used >= BLOCK_BYTES:
-            block, used, numbers = block + 1, 0, Numbers()
-        used += size(batch)
-        yield block, numbers, batch
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers below 2^32 by planes of bytes, compressed: the upper planes are mostly zero."""
+    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def spread(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack(values: list[bytes]) -> bytes:
+    """A list of byte strings, compressed."""
+    lengths = squeezed(np.fromiter(map(len, values), np.int64, len(values)))
+    body = zstandard.ZstdCompressor(level=3).compress(b"".join(values))
+    return len(lengths).to_bytes(4, "little") + lengths + body
+
+
+def unpack(data: bytes) -> list[bytes]:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    ends = np.cumsum(spread(data[4:cut]), dtype=np.int64).tolist()
+    body = zstandard.ZstdDecompressor().decompress(data[cut:])
+    return [body[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def as_rows(parts: list[np.ndarray]) -> list[bytes]:
@@ -66,10 +74,6 @@ def of_row(row: bytes | None) -> np.ndarray:
     return np.frombuffer(row or b"", "<i4")
 
 
-def binary(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary())
-
-
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the ranges [start, start + length), one after the other."""
     ends = np.cumsum(lengths)

@@ -1,9 +1,11 @@
 """Byte-level BPE over a whole corpus: each distinct word is merged once.
 
-Encoding: texts are cut into pre-tokens, each with its place (``blocks``: a word costs a row
-once per block, its places stay together as numbers). The distinct words of the corpus meet
-in one shuffle and go through the merges once; their ids are joined back to the blocks that
-use them, and every text is put together from the ids of its words in the order of its places.
+Encoding: texts are cut into pre-tokens, each with its place (``blocks``: a word stands once in
+the list of a block, its places stay together as numbers). The blocks' words are dealt by their
+hash, so that the same word of all blocks meets in one part and goes through the merges once;
+the ids are joined back to the blocks, and every text is put together from the ids of its words
+in the order of its places. What is stored and moved is compressed: one number per place, and
+the words of a block once.
 Decoding joins ids with the vocabulary's table of token bytes.
 
 Both work for any vocabulary of ranks and any split pattern. Null texts count as empty; empty
@@ -17,27 +19,37 @@ from __future__ import annotations
 import base64
 import functools
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wordloom.llm.blocks import as_rows, blocks, expand, of_row
+from wordloom.llm.blocks import BLOCK_BYTES, Numbers, expand, of_row, pack, spread, squeezed, unpack
 from wordloom.llm.common import stored, table
 from wordloom.sizing import BROADCAST_BYTES
 
-_USES = "block long, doc_id long, places binary, word string, number int"
-_PIECES = pa.schema(
+_USES = pa.schema(
     [
         ("block", pa.int64()),
-        ("doc_id", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("counts", pa.binary()),
         ("places", pa.binary()),
-        ("word", pa.string()),
-        ("number", pa.int32()),
+        ("part_of", pa.binary()),
+        ("part", pa.int64()),
+        ("words", pa.binary()),
     ]
 )
+_USES_SQL = (
+    "block long, doc_ids array<long>, counts binary, places binary, part_of binary, "
+    "part long, words binary"
+)
+_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+LEAST_PARTS = 12
 #: A letter, a digit and a sign, in place of characters that two Unicode versions see differently.
 _STAND_INS = {"L": "x", "N": "0", "": "☃"}
 DECODE_CHUNK = 4096
@@ -87,72 +99,126 @@ def splitter(pattern: str, differences: dict[int, str]) -> Callable[[str], list[
     return cut
 
 
-def _uses(docs: DataFrame, pattern: str) -> DataFrame:
-    """A row per text with the numbers of its words in order, and a row per block and word."""
+class _Block:
+    """The texts of a block: their words as numbers in order, and the words."""
+
+    def __init__(self) -> None:
+        self.numbers, self.parts, self.doc_ids, self.counts = Numbers(), [], [], []
+
+    def add(self, batch: pa.RecordBatch, cut: Callable[[str], list[str]]) -> None:
+        words: list[str] = []
+        for text in batch.column(1).to_pylist():
+            before = len(words)
+            words += cut(text or "")
+            self.counts.append(len(words) - before)
+        self.doc_ids += batch.column(0).to_pylist()
+        self.parts.append(self.numbers.number(words, pa.string()))
+
+    def rows(self, block: int, parts: int) -> pa.RecordBatch:
+        """One row of the texts, and one of the words of each part. Frequent words get small
+        numbers, equally frequent ones in the order of their letters: both compress well."""
+        places = np.concatenate(self.parts)
+        words = [w.encode() for w in self.numbers.known]
+        uses = np.bincount(places, minlength=len(words)).tolist()
+        order = sorted(range(len(words)), key=lambda i: (-uses[i], words[i]))
+        new = np.empty(len(words), np.int64)
+        new[order] = np.arange(len(words))
+        listed: dict[int, list[bytes]] = {}
+        part_of = np.empty(len(words), np.int64)
+        for number, i in enumerate(order):
+            part = part_of[number] = xxhash.xxh64_intdigest(words[i]) % parts
+            listed.setdefault(part, []).append(words[i])
+        first = {"doc_ids": self.doc_ids, "counts": squeezed(np.array(self.counts))}
+        first |= {"places": squeezed(new[places]), "part_of": squeezed(part_of)}
+        return table(
+            _USES,
+            block=[block] * (1 + len(listed)),
+            part=[None, *listed],
+            words=[None, *map(pack, listed.values())],
+            **{name: [value] + [None] * len(listed) for name, value in first.items()},
+        )
+
+
+def _uses(docs: DataFrame, pattern: str, parts: int) -> DataFrame:
+    """A row per block with its texts, and a row per block and part with its words."""
     differences = _differences()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = splitter(pattern, differences)
-        for block, numbers, batch in blocks(batches, lambda b: b.column(1).nbytes):
-            words, ends = [], []
-            for text in batch.column(1).to_pylist():
-                words += cut(text or "")
-                ends.append(len(words))
-            places = np.split(numbers.number(words, pa.string()), ends[:-1])
-            first, fresh = numbers.news()
-            rows, news = len(ends), len(fresh)
-            yield table(
-                _PIECES,
-                block=pa.array(np.full(rows + news, block)),
-                doc_id=pa.concat_arrays([batch.column(0), pa.nulls(news, pa.int64())]),
-                places=as_rows(places) + [None] * news,
-                word=[None] * rows + fresh,
-                number=[None] * rows + list(range(first, first + news)),
-            )
+        cut, number = splitter(pattern, differences), TaskContext.get().partitionId() << 32
+        block, used = _Block(), 0
+        for batch in batches:
+            block.add(batch, cut)
+            used += batch.nbytes
+            if used >= BLOCK_BYTES:
+                yield block.rows(number, parts)
+                block, used, number = _Block(), 0, number + 1
+        if block.parts:
+            yield block.rows(number, parts)
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(run, _USES)
+    return texts.mapInArrow(run, _USES_SQL)
 
 
 def _merged(words: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """Each word with its ids; a word occurs once."""
-    schema = pa.schema([("word", pa.string()), ("ids", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(ranks, pattern).encode_ordinary
-        for batch in batches:
-            ids = [np.array(encode(w), "<u4").tobytes() for w in batch.column(0).to_pylist()]
-            yield table(schema, word=batch.column(0), ids=ids)
-
-    return words.mapInArrow(run, "word string, ids binary")
+    """The words' ids. All blocks' words of one part meet, where each distinct one is merged
+    once; their number, with that of the parts, does not grow with the corpus."""
+    schema = pa.schema([("of", pa.int64()), ("part", pa.int64()), ("ids", pa.binary())])
+
+    def run(found: pa.Table) -> pa.Table:
+        encode, known, out = _encoding(ranks, pattern).encode_ordinary, {}, []
+        for data in found["words"].to_pylist():
+            ids = []
+            for word in unpack(data):
+                if word not in known:
+                    known[word] = encode(word.decode())
+                ids.append(known[word])
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            lengths = squeezed(np.fromiter(map(len, ids), np.int64, len(ids)))
+            out.append(len(lengths).to_bytes(4, "little") + lengths + squeezed(flat))
+        columns = [found["block"], found["part"], pa.array(out, pa.binary())]
+        return pa.table(columns, schema=schema)
+
+    return words.groupBy("part").applyInArrow(run, "of long, part long, ids binary")
 
 
 def _together(texts: pa.Table, words: pa.Table) -> pa.Table:
     """The ids of a block's texts from the ids of its words."""
-    order = np.argsort(words["number"].to_numpy())
-    ids = words["ids"].take(pa.array(order)).to_pylist()
-    lengths = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-    starts = np.cumsum(lengths) - lengths
-    pool = np.frombuffer(b"".join(ids), "<u4")
-    out = []
-    for places in texts["places"].to_pylist():
-        places = of_row(places)
-        out.append(pool[expand(starts[places], lengths[places])].tobytes())
-    return pa.table({"doc_id": texts["doc_id"], "ids": pa.array(out, pa.binary())})
-
-
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    if not len(texts):
+        return _IDS.empty_table()
+    row = texts.to_pylist()[0]
+    part_of, places, counts = (spread(row[c]) for c in ("part_of", "places", "counts"))
+    starts, lengths = np.zeros(len(part_of), np.int64), np.zeros(len(part_of), np.int64)
+    pools, held = [], 0
+    for part, data in zip(words["part"].to_pylist(), words["ids"].to_pylist()):
+        cut = 4 + int.from_bytes(data[:4], "little")
+        mine, sizes = np.flatnonzero(part_of == part), spread(data[4:cut]).astype(np.int64)
+        starts[mine], lengths[mine] = held + np.cumsum(sizes) - sizes, sizes
+        pools.append(spread(data[cut:]))
+        held += len(pools[-1])
+    pool = np.concatenate(pools) if pools else np.zeros(0, "<u4")
+    out, end = [], 0
+    for count in counts.tolist():
+        mine = places[end : end + count]
+        out.append(pool[expand(starts[mine], lengths[mine])].tobytes())
+        end += count
+    doc_ids = pa.array(row["doc_ids"], pa.int64())
+    return pa.table([doc_ids, pa.array(out, pa.binary())], schema=_IDS)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, parts: int | None = None) -> DataFrame:
     """``doc_id`` and ``ids``, the text's ids as little-endian unsigned 32-bit integers, for
-    every row of ``docs`` (``doc_id``, ``text``)."""
+    every row of ``docs`` (``doc_id``, ``text``).
+
+    Words are dealt to ``parts`` by their hash: unless named, as many as the input has
+    partitions, so that a part's words stay as many at any size of the corpus.
+    """
     ranks = read_ranks(path)
-    uses = stored(_uses(docs, pattern), "words")
-    pairs = uses.where(F.col("word").isNotNull()).select("block", "number", "word")
-    ids = _merged(pairs.select("word").distinct(), ranks, pattern)
-    back = pairs.join(ids, "word").select(F.col("block").alias("of"), "number", "ids")
-    texts = uses.where(F.col("word").isNull()).select("block", "doc_id", "places")
-    return texts.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(
-        _together, "doc_id long, ids binary"
-    )
+    parts = parts or max(LEAST_PARTS, docs.rdd.getNumPartitions())
+    uses = stored(_uses(docs, pattern, parts), "words")
+    words = uses.where(F.col("words").isNotNull()).select("block", "part", "words")
+    texts = uses.where(F.col("words").isNull()).drop("part", "words")
+    ids = _merged(words, ranks, pattern).groupBy("of")
+    return texts.groupBy("block").cogroup(ids).applyInArrow(_together, "doc_id long, ids binary")
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:
