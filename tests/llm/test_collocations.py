@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.llm import blocks, collocations
+from wordloom.llm import collocations
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -53,7 +53,8 @@ def corpus(seed, count=160):
             rng.choice(words) + rng.choices(ends, [30, 2, 2] + [1] * 6)[0]
             for _ in range(rng.randrange(60))
         )
-        rows.append((rng.choice([text, text + "new york city new york"]), rng.choice(["en", "en", "en", "fr", None, "und"])))
+        text = rng.choice([text, text + "new york city new york"])
+        rows.append((text, rng.choice(["en", "en", "en", "fr", None, "und"])))
     return rows + [(None, "en"), ("", None), (" \t\n", "xx"), ("x " * 400, "de")] + rows[:20]
 
 
@@ -66,10 +67,10 @@ def mined(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("block_bytes", [1, 4000, 16 << 20])
-def test_as_counted_phrase_by_phrase(spark, table, frame, monkeypatch, block_bytes):
-    monkeypatch.setattr(collocations, "BLOCK_BYTES", block_bytes)
-    rows = corpus(block_bytes)
+@pytest.mark.parametrize("block_words", [1, 500, 3_000_000])
+def test_as_counted_phrase_by_phrase(spark, table, frame, monkeypatch, block_words):
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", block_words)
+    rows = corpus(block_words)
     assert mined(collocations.collocations(table(rows))) == brute(rows)
 
 

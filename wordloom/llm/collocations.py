@@ -28,9 +28,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wordloom.llm.blocks import Numbers, as_rows, of_row
-from wordloom.llm.common import best, slices, stored, table
+from wordloom.llm.common import best, discard, slices, stored, table
 
-BLOCK_BYTES = 8 << 20
+#: Words in hand before the language with most of them becomes a block.
+BLOCK_WORDS = 3_000_000
 NUMBER_BITS, BLOCK_BITS = 28, 15
 ROWS_OUT = 100_000
 # Numbers 0 and 1 of a block: what stands between two blanks, and a break between pieces.
@@ -67,13 +68,14 @@ class _Texts:
     """The words of one block and language: their numbers in order, with breaks."""
 
     def __init__(self) -> None:
-        self.numbers, self.parts = Numbers(), []
+        self.numbers, self.parts, self.size = Numbers(), [], 0
         self.numbers.number([_EMPTY, _BREAK], pa.binary())
         self.numbers.news()
 
     def add(self, words: list[bytes]) -> None:
         numbers = self.numbers.number(words, pa.binary())
         self.parts.append(numbers[numbers != 0])
+        self.size += len(self.parts[-1])
 
     def rows(self, block: int, lang: str) -> pa.RecordBatch:
         sequence = np.concatenate(self.parts)
@@ -98,8 +100,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     """A row per block with its words in order, and a row per block and word with its uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << BLOCK_BITS
-        block, used, held = first, 0, {}
+        block, first, held = 0, TaskContext.get().partitionId() << BLOCK_BITS, {}
         for batch in batches:
             words: dict[str, list[bytes]] = {}
             texts = batch.column(0).cast(pa.large_binary()).to_pylist()
@@ -109,13 +110,15 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                 words[lang].append(_BREAK)
             for lang, cut in words.items():
                 held.setdefault(lang, _Texts()).add(cut)
-            used += batch.nbytes
-            if used >= BLOCK_BYTES:
-                yield from (x.rows(i, lang) for i, (lang, x) in enumerate(held.items(), block))
-                block, used, held = block + len(held), 0, {}
-            if block + len(held) - first >> BLOCK_BITS:
+            while held and sum(x.size for x in held.values()) >= BLOCK_WORDS:
+                lang = max(held, key=lambda name: held[name].size)
+                yield held.pop(lang).rows(first + block, lang)
+                block += 1
+            if block + len(held) >> BLOCK_BITS:
                 raise ValueError("a task has too many blocks")
-        yield from (x.rows(i, lang) for i, (lang, x) in enumerate(held.items(), block))
+        for lang, texts in held.items():
+            yield texts.rows(first + block, lang)
+            block += 1
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     columns = "block long, lang string, sequence binary, word string, number long, uses long"
@@ -130,9 +133,10 @@ def _counted(groups: DataFrame, by: list[str], least: int) -> DataFrame:
     counted = groups.select(
         "*", F.sum("uses").over(same).alias("total"), F.min(own).over(same).alias("id")
     )
-    names = (own == F.col("id")).alias("names")
     frequent = counted.where(F.col("total") >= least)
-    return frequent.select(*by, "block", "number", "total", "id", names)
+    # The row that names a group describes it; the others only tell its id to their block.
+    once = [F.when(own == F.col("id"), F.col(c)).alias(c) for c in (*by, "total")]
+    return frequent.select("block", "number", "id", *once)
 
 
 def _persisted(block: int, places: np.ndarray, groups: np.ndarray, ids: np.ndarray) -> dict:
@@ -229,14 +233,23 @@ def phrases(
     uses = words.where(F.col("word").isNotNull()).drop("sequence")
     counted = stored(_counted(uses, ["lang", "word"], least), "words")
     texts = words.where(F.col("word").isNull()).select("block", "sequence")
+    langs = stored(uses.groupBy("lang").agg(F.sum("uses").alias("n")), "languages")
     relation = _narrowed(texts, counted, _frequent_words, "relation")
-    levels = [counted.where("names").select("id", "lang", "word", "total")]
+    levels = [_named(counted, "lang", "word")]
+    discard(words)
     for length in range(2, longest + 1):
         counted = stored(_counted(_groups(relation), ["first", "second"], least), "phrases")
-        levels.append(counted.where("names").select("id", "first", "second", "total"))
+        levels.append(_named(counted, "first", "second"))
         if length < longest:
-            relation = _narrowed(relation, counted, _frequent_groups, "relation")
-    return levels, uses.groupBy("lang").agg(F.sum("uses").alias("n"))
+            narrower = _narrowed(relation, counted, _frequent_groups, "relation")
+            discard(relation)
+            relation = narrower
+    return levels, langs
+
+
+def _named(counted: DataFrame, *by: str) -> DataFrame:
+    """One row per group, of those that ``_counted`` gave."""
+    return counted.where(F.col("total").isNotNull()).select("id", *by, "total")
 
 
 def _described(levels: list[DataFrame]) -> list[DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -77,6 +78,19 @@ def best(rows: DataFrame, by: list[str], order: list[Column], top: int) -> DataF
     return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once what follows from it is stored itself, and let Spark
+    delete the shuffle files of plans that nothing refers to: it does so when the driver's JVM
+    collects its garbage, which on a quiet driver may be long after."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
