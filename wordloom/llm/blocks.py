@@ -41,21 +41,36 @@ class Numbers:
         return len(self.known) - len(words), words
 
 
-def squeezed(values: np.ndarray) -> bytes:
-    """Numbers below 2^32 by planes of bytes, compressed: the upper planes are mostly zero."""
+LEVEL = 9
+
+
+def _planes(values: np.ndarray) -> bytes:
     planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(planes.tobytes())
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed: a byte for each, and apart from them, by planes of
+    bytes, what the large ones have beyond it."""
+    large = values >= 255
+    low = np.where(large, 255, values).astype(np.uint8).tobytes()
+    low = zstandard.ZstdCompressor(level=LEVEL).compress(low)
+    return len(low).to_bytes(4, "little") + low + _planes(values[large] - 255)
 
 
 def spread(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    cut = 4 + int.from_bytes(data[:4], "little")
+    unpacked = zstandard.ZstdDecompressor().decompress
+    values = np.frombuffer(unpacked(data[4:cut]), np.uint8).astype("<u4")
+    planes = np.frombuffer(unpacked(data[cut:]), np.uint8).reshape(4, -1)
+    values[values == 255] += np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return values
 
 
 def pack(values: list[bytes]) -> bytes:
     """A list of byte strings, compressed."""
     lengths = squeezed(np.fromiter(map(len, values), np.int64, len(values)))
-    body = zstandard.ZstdCompressor(level=3).compress(b"".join(values))
+    body = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(values))
     return len(lengths).to_bytes(4, "little") + lengths + body
 
 
