@@ -50,6 +50,7 @@ _USES_SQL = (
 )
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 LEAST_PARTS = 12
+WORDS_AT_ONCE = 100_000
 #: A letter, a digit and a sign, in place of characters that two Unicode versions see differently.
 _STAND_INS = {"L": "x", "N": "0", "": "☃"}
 DECODE_CHUNK = 4096
@@ -107,10 +108,13 @@ class _Block:
 
     def add(self, batch: pa.RecordBatch, cut: Callable[[str], list[str]]) -> None:
         words: list[str] = []
-        for text in batch.column(1).to_pylist():
-            before = len(words)
-            words += cut(text or "")
-            self.counts.append(len(words) - before)
+        for text in batch.column(1):
+            found = cut(text.as_py() or "")
+            self.counts.append(len(found))
+            words += found
+            if len(words) >= WORDS_AT_ONCE:
+                self.parts.append(self.numbers.number(words, pa.string()))
+                words = []
         self.doc_ids += batch.column(0).to_pylist()
         self.parts.append(self.numbers.number(words, pa.string()))
 
