@@ -7,7 +7,15 @@ position join, sets by list functions.
 
 from __future__ import annotations
 
-from registry.queries import BOOLEAN, EXTENDED, PART_EXTENDED, PART_TEXTS, TEXTS
+from registry.queries import (
+    BOOLEAN,
+    EXTENDED,
+    NESTED,
+    PART_EXTENDED,
+    PART_TEXTS,
+    PHRASES_NESTED,
+    TEXTS,
+)
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -103,6 +111,18 @@ ORDERS = """(SELECT 0::BIGINT AS query_id, o_orderkey AS doc_id, trunc(o_totalpr
     o_orderdate, o_custkey FROM orders)"""
 
 
+SETTINGS = f"""asked AS (SELECT item_id AS query_id, CASE WHEN item_id % 11 <> 10 THEN text END AS text
+    FROM benchmark),
+    q AS (SELECT query_id, {words('text')} AS ql FROM asked WHERE text IS NOT NULL),
+    qt AS (SELECT DISTINCT query_id, unnest(ql) AS term FROM q), {W}, {TF}, {BM},
+    c AS (SELECT query_id, doc_id, sum(tf)::BIGINT AS hits, count(*) AS met FROM qt JOIN tf USING (term)
+    GROUP BY ALL),
+    m AS (SELECT query_id, doc_id, CASE WHEN query_id % 2 = 0 THEN bm25 ELSE hits END AS weight, lang,
+    source, n_chars FROM c JOIN bm USING (query_id, doc_id) JOIN documents USING (doc_id)
+    JOIN q USING (query_id) WHERE (query_id % 3 = 0 OR met = len(list_distinct(ql)))
+    AND (query_id % 5 <> 0 OR n_chars BETWEEN 300 AND 3000))"""
+
+
 def _boolean() -> str:
     """Each query as list conditions on the words of a document."""
     parts = []
@@ -135,6 +155,26 @@ def _clause(kind: str, op: str, n: int | None, columns: list[str], text: str) ->
     return "(" + " OR ".join(tests[op](c) for c in columns) + ")"
 
 
+def _nested(rows: list[tuple]) -> str:
+    """Each tree as one nested condition."""
+
+    def condition(row: tuple, rows: list[tuple]) -> str:
+        _, clause, _, kind, op, n, text = row
+        if op == "group":
+            members = [condition(r, rows) for r in rows if r[2] == clause]
+            joined = "(" + (" AND " if kind == "must" else " OR ").join(members) + ")"
+        else:
+            joined = _clause(kind, op, n, ["l"], text)
+        return f"(NOT {joined})" if kind == "not" else joined
+
+    parts = []
+    for query in sorted({row[0] for row in rows}):
+        mine = [row for row in rows if row[0] == query]
+        tops = " AND ".join(condition(row, mine) for row in mine if row[2] is None)
+        parts.append(f"SELECT {query}::BIGINT AS query_id, doc_id FROM w WHERE {tops}")
+    return " UNION ALL ".join(parts)
+
+
 def _extended(rows: list[tuple], fields: dict[str, str]) -> str:
     parts = []
     for query in sorted({row[0] for row in rows}):
@@ -372,6 +412,40 @@ ORACLE: dict[str, str] = {
         THEN o_custkey || ',0' ELSE array_to_string(suppliers, ',') END AS suppliers
         FROM os LEFT JOIN orders ON o_orderkey = doc_id""",
     "i4_updated_count": "SELECT count(*) AS updated FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
+    "a3_index_postings": f"""WITH {W} SELECT doc_id, term, count(*)::INTEGER AS hits
+        FROM (SELECT doc_id, unnest(l) AS term FROM w) GROUP BY ALL""",
+    "c4_nested_groups": f"WITH {W} {_nested(NESTED)}",
+    "c5_nested_groups": f"WITH {W} {_nested(PHRASES_NESTED)}",
+    "d2_index_best": f"""WITH {BENCHMARK}, {W}, {TF}, {BM}, x AS (SELECT query_id, doc_id, bm25 AS weight
+        FROM bm) {_ranked('x', 'weight DESC, doc_id', 20)}""",
+    "f1_deep_page": f"""SELECT query_id, doc_id, weight, rank FROM
+        ({_ranked(ORDERS, 'weight DESC, doc_id', 7500, 7000)})""",
+    "i2_update_log": """SELECT d.doc_id, CASE WHEN d.doc_id % 3 = 0 THEN
+        CASE WHEN d.doc_id % 2 = 0 THEN 'xx' END ELSE lang END AS lang,
+        CASE WHEN d.doc_id % 3 = 0 THEN 'moved' ELSE source END AS source,
+        CASE WHEN f.doc_id IS NOT NULL THEN f.doc_id WHEN b.doc_id IS NOT NULL THEN b.quality
+        ELSE n_chars END::BIGINT AS n_chars
+        FROM documents d LEFT JOIN labels b ON b.doc_id = d.doc_id
+        LEFT JOIN (SELECT doc_id FROM documents WHERE doc_id % 4 = 0) f ON f.doc_id + 10 = d.doc_id""",
+    "i4_update_log_counts": """SELECT 1 AS batch, count(*) AS updated FROM documents
+        WHERE doc_id IN (SELECT doc_id FROM labels)
+        UNION ALL SELECT 2, count(*) FROM documents WHERE doc_id % 3 = 0
+        UNION ALL SELECT 3, count(*) FROM documents WHERE doc_id - 10 IN (SELECT doc_id FROM documents
+        WHERE doc_id % 4 = 0)""",
+    "j1_index_filtered": f"""WITH {BENCHMARK}, {W}, {TF}, {BM}, x AS (SELECT query_id, doc_id,
+        bm25 AS weight, lang, source, n_chars FROM bm JOIN documents USING (doc_id)
+        WHERE n_chars BETWEEN 500 AND 5000) {_ranked('x', 'weight DESC, doc_id', 20)}""",
+    "j1_settings_per_query": f"""WITH {SETTINGS}
+        SELECT query_id, doc_id, weight, lang, source, n_chars, rank FROM (SELECT *, row_number() OVER
+        (PARTITION BY query_id ORDER BY CASE WHEN query_id % 6 = 3 THEN n_chars END NULLS LAST,
+        CASE WHEN query_id % 6 <> 3 THEN weight END DESC, doc_id)::INTEGER AS rank FROM m)
+        WHERE rank > query_id % 4 AND rank <= query_id % 4 + 20""",
+    "j4_index_word_stats": f"""WITH {Q}, {W}, {TF} SELECT query_id, term AS word, count(tf) AS docs,
+        coalesce(sum(tf), 0)::BIGINT AS hits FROM qt LEFT JOIN tf USING (term) GROUP BY ALL""",
+    "j5_settings_summary": f"""WITH {SETTINGS} SELECT a.query_id, least(count(m.query_id), 1000) AS total,
+        count(m.query_id) AS total_found, CASE WHEN text IS NULL THEN 'error' ELSE 'ok' END AS status,
+        CASE WHEN text IS NULL THEN 'query text is missing' ELSE '' END AS message, '' AS comment
+        FROM asked a LEFT JOIN m USING (query_id) GROUP BY a.query_id, text""",
     "j1_batch_search": f"""WITH {BENCHMARK}, {W}, {TF}, {BM}, x AS (SELECT query_id, doc_id, bm25 AS weight,
         lang, source, n_chars FROM bm JOIN documents USING (doc_id))
         {_ranked('x', 'weight DESC, doc_id', 20)}""",
@@ -409,3 +483,4 @@ ORACLE: dict[str, str] = {
         SELECT query_id, doc_id, 'text' AS field, (p - 1)::INTEGER AS pos,
         array_to_string(l[greatest(p - 5, 1):p + 5], ' ') AS excerpt FROM x""",
 }
+ORACLE["j1_index_search"] = ORACLE["j1_default_search"]

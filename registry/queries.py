@@ -19,10 +19,13 @@ from wordloom.operators.attributes import (
     update_attributes,
     updated_count,
 )
+from wordloom.operators.best_blocks import best_bm25
 from wordloom.operators.clauses import clause_batch, match_boolean, match_extended
 from wordloom.operators.excerpts import excerpts, keywords
 from wordloom.operators.grouping import group_best, group_by, page_groups
 from wordloom.operators.matching import match_all, match_any, match_fullscan, match_phrase
+from wordloom.operators.update_log import UpdateLog
+from wordloom.plans.each import search_each
 from wordloom.plans.search import Group, result_matches, result_summary, search, word_stats
 from wordloom.sources import (
     Corpus,
@@ -31,11 +34,14 @@ from wordloom.sources import (
     corpus,
     corpus_status,
     describe_corpus,
+    load_index,
     query_batch,
     read_parquet,
+    save_index,
     tokens,
     validate_queries,
 )
+from wordloom.storage import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,6 +161,55 @@ def benchmark_queries(spark: SparkSession, sf: str) -> QueryBatch:
     return query_batch(items.select(F.col("item_id").alias("query_id"), "text", label.alias("comment")))
 
 
+# query_id, clause, parent, kind, op, n, text: three levels, groups and words negated
+NESTED = [
+    (1, 1, None, "must", "words", None, "the"),
+    (1, 2, None, "any", "group", None, None),
+    (1, 3, 2, "must", "group", None, None),
+    (1, 4, 3, "must", "words", None, "of"),
+    (1, 5, 3, "not", "words", None, "in"),
+    (1, 6, 2, "must", "words", None, "and that"),
+    (2, 1, None, "not", "group", None, None),
+    (2, 2, 1, "must", "group", None, None),
+    (2, 3, 2, "must", "words", None, "the"),
+    (2, 4, 2, "any", "words", None, "and of"),
+    (2, 5, 1, "must", "words", None, "de"),
+    (3, 1, None, "any", "group", None, None),
+    (3, 2, 1, "must", "quorum", 3, "the of and in"),
+    (3, 3, 1, "must", "group", None, None),
+    (3, 4, 3, "must", "words", None, "la"),
+    (3, 5, 3, "not", "words", None, "de el"),
+]
+PHRASES_NESTED = [
+    (1, 1, None, "any", "group", None, None),
+    (1, 2, 1, "must", "phrase", None, "of the"),
+    (1, 3, 1, "must", "group", None, None),
+    (1, 4, 3, "must", "near", 6, "the and"),
+    (1, 5, 3, "not", "phrase", None, "in the"),
+    (2, 1, None, "must", "words", None, "the"),
+    (2, 2, None, "not", "group", None, None),
+    (2, 3, 2, "must", "start", None, "the"),
+    (2, 4, 2, "must", "group", None, None),
+    (2, 5, 4, "must", "words", None, "of"),
+    (2, 6, 4, "must", "phrase", None, "and the"),
+]
+
+
+def _nested(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(
+        rows,
+        "query_id long, clause int, parent int, kind string, op string, n int, text string",
+    )
+
+
+def indexed(spark: SparkSession, sf: str):
+    """The documents through a term index, written for the query."""
+    docs = documents(spark, sf)
+    path = new_folder(spark, "index")
+    save_index(docs, path)
+    return load_index(spark, path, docs)
+
+
 def _clauses(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     if len(rows[0]) == 4:
         return spark.createDataFrame(rows, "query_id long, clause int, kind string, text string")
@@ -609,6 +664,98 @@ def update_count(spark, sf):
 # --- batches and results --------------------------------------------------------------
 
 
+def index_postings(spark, sf):
+    """Every word of every document with its number of places, from the stored index."""
+    return indexed(spark, sf).postings.select("doc_id", "term", F.size("slots").alias("hits"))
+
+
+def index_search(spark, sf):
+    """The default search on the stored index."""
+    return search(indexed(spark, sf), batch(spark)).matches
+
+
+def index_filtered(spark, sf):
+    """Benchmark texts of any words by BM25 on the stored index, filtered by an attribute."""
+    index = indexed(spark, sf)
+    found = search(
+        index,
+        benchmark_queries(spark, sf),
+        "any",
+        "bm25",
+        filters=[fl.between("n_chars", 500, 5000)],
+    )
+    return found.matches
+
+
+def index_best(spark, sf):
+    """The best 20 by BM25 of every benchmark text, blocks that cannot reach them unscored."""
+    return best_bm25(indexed(spark, sf), benchmark_queries(spark, sf), 20).matches
+
+
+def index_word_stats(spark, sf):
+    return word_stats(indexed(spark, sf).opened(batch(spark).terms), batch(spark))
+
+
+def nested_boolean(spark, sf):
+    return match_boolean(documents(spark, sf), clause_batch(_nested(spark, NESTED)))
+
+
+def nested_extended(spark, sf):
+    return match_extended(documents(spark, sf), clause_batch(_nested(spark, PHRASES_NESTED)))
+
+
+def deep_page(spark, sf):
+    """A page in the middle of all orders."""
+    return od.deep_page(_order_matches(spark, sf), 7000, 500).select("query_id", "doc_id", "weight", "rank")
+
+
+def _log(spark, sf):
+    """Three batches over the documents: labelled sizes, sources of every third, sizes again."""
+    docs = documents(spark, sf)
+    log = UpdateLog(new_folder(spark, "updates"), docs)
+    ids = docs.df.select("doc_id")
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("n_chars"))
+    log.append(1, labels, ["n_chars"])
+    third = ids.where("doc_id % 3 = 0").withColumn("source", F.lit("moved"))
+    log.append(2, third.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "xx")), ["source", "lang"])
+    fourth = ids.where("doc_id % 4 = 0").selectExpr("doc_id + 10 as doc_id", "doc_id as n_chars")
+    log.append(3, fourth, ["n_chars"])
+    return log
+
+
+def update_log(spark, sf):
+    return _log(spark, sf).overlaid().df.drop("text")
+
+
+def update_log_counts(spark, sf):
+    return _log(spark, sf).updated_counts()
+
+
+def _each(spark, sf):
+    """Every benchmark text with a mode, ranker, order and filter of its own."""
+    items = table(spark, sf, "benchmark")
+    queries = items.select(
+        F.col("item_id").alias("query_id"),
+        F.when(F.col("item_id") % 11 != 10, F.col("text")).alias("text"),
+        (F.col("item_id") % 3 == 0).cast("int").alias("mode"),
+        F.when(F.col("item_id") % 2 == 0, 1).otherwise(3).alias("ranker"),
+        F.when(F.col("item_id") % 6 == 3, 2).otherwise(0).alias("sort"),
+        F.lit("n_chars").alias("sort_by"),
+        (F.col("item_id") % 4).cast("int").alias("offset"),
+    )
+    low = items.where("item_id % 5 = 0").select(F.col("item_id").alias("query_id"))
+    filters = low.selectExpr("query_id", "'n_chars' as attr", "300L as lo", "3000L as hi", "false as exclude")
+    return search_each(documents(spark, sf), queries, filters)
+
+
+def settings_per_query(spark, sf):
+    return _each(spark, sf).matches
+
+
+def settings_summary(spark, sf):
+    return _each(spark, sf).summary
+
+
 def batch_search(spark, sf):
     """All benchmark texts in one pass: the best 20 documents of each."""
     return search(documents(spark, sf), benchmark_queries(spark, sf), "any", "bm25").matches
@@ -760,6 +907,18 @@ QUERIES: dict[str, Query] = {
     "i2_update_scalar": update_scalar,
     "i3_update_multi_value": update_multi_value,
     "i4_updated_count": update_count,
+    "a3_index_postings": index_postings,
+    "c4_nested_groups": nested_boolean,
+    "c5_nested_groups": nested_extended,
+    "d2_index_best": index_best,
+    "f1_deep_page": deep_page,
+    "i2_update_log": update_log,
+    "i4_update_log_counts": update_log_counts,
+    "j1_index_filtered": index_filtered,
+    "j1_index_search": index_search,
+    "j1_settings_per_query": settings_per_query,
+    "j4_index_word_stats": index_word_stats,
+    "j5_settings_summary": settings_summary,
     "j1_batch_search": batch_search,
     "j1_default_search": default_search,
     "j2_match_result": match_result,

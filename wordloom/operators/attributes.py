@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from wordloom.codes import ATTRIBUTE_TYPES
-from wordloom.sizing import hint, join_by_key, measure
+from wordloom.sizing import hint, join_by_key, unique_size
 from wordloom.sources.corpus import Corpus
 
 
@@ -49,12 +49,6 @@ def override(
     return joined.withColumn(attr, changed).drop("__value", "__set")
 
 
-def _check_updates(updates: DataFrame, keys: Sequence[str]) -> None:
-    twice = updates.groupBy(*keys).count().where(F.col("count") > 1)
-    if not twice.isEmpty():
-        raise ValueError("an id occurs twice in the updates")
-
-
 def update_attributes(
     corpus: Corpus, updates: DataFrame, attrs: Sequence[str], mva: bool = False
 ) -> Corpus:
@@ -69,7 +63,6 @@ def update_attributes(
         is_list = isinstance(updates.schema[attr].dataType, T.ArrayType)
         if is_list != mva:
             raise ValueError(f"values of {attr} are {'' if is_list else 'not '}lists")
-    _check_updates(updates, corpus.keys)
     types = corpus.df.schema
     new = [F.col(a).cast(types[a].dataType.simpleString()).alias(f"__{a}") for a in attrs]
     side = updates.select(*corpus.keys, *new, F.lit(True).alias("__set"))
@@ -85,8 +78,7 @@ def updated_count(corpus: Corpus, updates: DataFrame) -> DataFrame:
     The ids of a small update are broadcast and the corpus is scanned for its keys
     only, whichever side is larger.
     """
-    _check_updates(updates, corpus.keys)
     ids = updates.select(*corpus.keys)
-    side = hint(ids, measure(ids).small)
+    side = hint(ids, unique_size(ids, corpus.keys).small)
     found = corpus.df.select(*corpus.keys).join(side, list(corpus.keys), "left_semi")
     return found.agg(F.count(F.lit(1)).alias("updated"))

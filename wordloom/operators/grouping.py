@@ -56,23 +56,25 @@ def group_by(
 ) -> DataFrame:
     """One row per (query, group): count, best match, and distinct values of an attribute.
 
-    The best match has the highest weight, then the lowest key. Every task keeps one row
+    The best match has the highest weight (where the frame has the exact ``bm25`` beside a
+    weight that packs it, then the highest of these), then the lowest key. Every task keeps one row
     per group (with ``distinct``: per group and value) before the shuffle, so a group
     holding a third of all matches costs one row per task.
     """
     grouped = with_groups(df, attr, func)
     names = _names(grouped)
+    exact = ["bm25"] if "bm25" in grouped.columns and distinct != "bm25" else []
     rows = grouped.select(
         "query_id",
         *names,
         *keys,
         "weight",
+        *exact,
         *([F.col(distinct).alias("__value")] if distinct else []),
     )
     group = ["query_id", *names]
-    best_match = F.min_by(
-        F.struct(*keys, "weight"), F.struct(F.negative("weight").alias("__minus"), *keys)
-    )
+    falling = [F.negative(c).alias(f"__minus_{c}") for c in ("weight", *exact)]
+    best_match = F.min_by(F.struct(*keys, "weight", *exact), F.struct(*falling, *keys))
     if distinct is None:
         result = rows.groupBy(*group).agg(
             F.count(F.lit(1)).alias("count"), best_match.alias("__best")

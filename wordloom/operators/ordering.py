@@ -13,7 +13,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wordloom.codes import DEFAULT_LIMIT, DEFAULT_MAX_MATCHES, DEFAULT_OFFSET, PAGE_BOUND
-from wordloom.sizing import fan_in
+from wordloom.sizing import fan_in, few, hint
+from wordloom.storage import stored, written
 
 Order = list[Column]
 
@@ -79,7 +80,7 @@ def time_segment(df: DataFrame, ts: str, now: datetime) -> Column:
 
 def time_segments(df: DataFrame, ts: str, now: datetime) -> Order:
     """Newest age class first, then best weight."""
-    return [time_segment(df, ts, now).asc(), *relevance()]
+    return [time_segment(df, ts, now).asc(), *relevance(df)]
 
 
 def sort_matches(
@@ -124,7 +125,7 @@ def max_matches(
     """The best ``n`` rows per query; 0 leaves the default of 1000."""
     if n < 0:
         raise ValueError("max_matches is negative")
-    return best_rows(df, order or relevance(), n or DEFAULT_MAX_MATCHES, keys)
+    return best_rows(df, order or relevance(df), n or DEFAULT_MAX_MATCHES, keys)
 
 
 def page(
@@ -144,10 +145,53 @@ def page(
     last = min(offset + limit, bound) if bound else offset + limit
     if offset >= last:
         return df.withColumn("rank", F.lit(0)).where(F.lit(False))
-    best = best_rows(df, order or relevance(), last, keys)
+    best = best_rows(df, order or relevance(df), last, keys)
     return best.where(F.col("rank") > offset) if offset else best
 
 
+def deep_page(
+    df: DataFrame,
+    offset: int,
+    limit: int,
+    order: Order | None = None,
+    keys: Sequence[str] = ("doc_id",),
+) -> DataFrame:
+    """Rows offset+1 .. offset+limit per query in order, for pages however deep.
+
+    The rows are sorted into ranges by (query, order, key) and written; each range counts its
+    rows of each query, which gives the rank at which a query enters it. Only the ranges that
+    hold a part of the page are read again and ranked, each on its own: no task holds more
+    than a range, and the key parts equal weights, so a hot query fills as many ranges as its
+    rows need. ``page`` is cheaper near the top.
+    """
+    if not 0 <= offset < PAGE_BOUND:
+        raise ValueError("offset out of range")
+    if not 0 < limit < PAGE_BOUND:
+        raise ValueError("limit out of range")
+    order = list(order or relevance(df))
+    by = [F.col("query_id").asc(), *order, *[F.col(c).asc() for c in keys]]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *by).withColumn("__range", F.spark_partition_id())
+    dealt = written(dealt, "ranges", ["__range"])
+    # A query is in neighbouring ranges: at most ranges + queries counts.
+    counts = dealt.groupBy("query_id", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("query_id").orderBy("__range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    holds = (F.col("__before") < offset + limit) & (F.col("__before") + F.col("__n") > offset)
+    found = stored(counts.where(holds).drop("__n"), "page")
+    # Files of other ranges are not opened.
+    wanted = [row[0] for row in found.select("__range").distinct().collect()]
+    rows = dealt.where(F.col("__range").isin(wanted)).join(
+        hint(found, few(ranges + found.count())), ["query_id", "__range"]
+    )
+    local = Window.partitionBy("query_id", "__range").orderBy(*by[1:])
+    ranked = rows.withColumn("rank", (F.row_number().over(local) + F.col("__before")).cast("int"))
+    on_page = F.col("rank").between(offset + 1, offset + limit)
+    return ranked.where(on_page).select(*df.columns, "rank")
+
+
 def cutoff(df: DataFrame, n: int, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The first ``n`` matches per query by key, before ranking; 0 keeps all."""
     if n < 0:

@@ -7,6 +7,7 @@ a larger side takes a shuffle join, salted where one key may be hot.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -46,7 +47,7 @@ def row_bytes(df: DataFrame) -> Column:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(column), F.lit(0)) + 8
-        elif isinstance(field.dataType, T.ArrayType):
+        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
             text = F.octet_length(F.to_json(column))
             width = width + F.coalesce(text, F.lit(0)) + 8
         else:
@@ -65,17 +66,19 @@ def hint(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def join_by_key(big: DataFrame, side: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join on a key that is unique in ``side``, so no key of the output is hot.
-
-    One aggregate measures the side and verifies that the key is unique.
-    """
+def unique_size(side: DataFrame, on: Sequence[str]) -> Size:
+    """The size of a side whose key must be unique: one aggregate tells both."""
     row = side.agg(
         F.count(F.lit(1)), F.sum(row_bytes(side)), F.count_distinct(F.struct(*on))
     ).first()
     if row[0] != row[2]:
-        raise ValueError(f"a key of {on} occurs twice")
-    return big.join(hint(side, Size(row[0], row[1] or 0).small), on, how)
+        raise ValueError(f"a key of {list(on)} occurs twice")
+    return Size(row[0], row[1] or 0)
+
+
+def join_by_key(big: DataFrame, side: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join on a key that is unique in ``side``, so no key of the output is hot."""
+    return big.join(hint(side, unique_size(side, on).small), on, how)
 
 
 def join_by_term(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
+    """``df`` written in folders by the columns ``by`` and read back."""
+    path = new_folder(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back: what follows does not repeat what came before, also
     when executors are lost."""
