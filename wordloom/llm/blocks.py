@@ -1,9 +1,8 @@
 """Texts as numbered words, a block of documents at a time.
 
-A block is a run of rows of one task of about ``BLOCK_BYTES`` of text. Its words are numbered
-in the order of their first use, so a word costs a row once per block however often it stands
-there: what is later shuffled by word has at most one row per block and word, and no word is a
-hot key. The numbers of a text are kept as little-endian 32-bit integers.
+A block is a run of rows of one task. Its words are numbered, so a word stands once in what a
+block sends on, however often it occurs there, and no word is a hot key. The numbers of a text
+are kept as little-endian 32-bit integers or compressed.
 """
 
 from __future__ import annotations
@@ -12,8 +11,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-BLOCK_BYTES = 16 << 20
-
 
 class Numbers:
     """Numbers words from 0 by their first use."""

@@ -19,17 +19,17 @@ from __future__ import annotations
 import base64
 import functools
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wordloom.llm.blocks import BLOCK_BYTES, Numbers, expand, of_row, pack, spread, squeezed, unpack
+from wordloom.llm.blocks import Numbers, expand, of_row, pack, spread, squeezed, unpack
 from wordloom.llm.common import stored, table
 from wordloom.sizing import BROADCAST_BYTES
 
@@ -49,6 +49,7 @@ _USES_SQL = (
     "part long, words binary"
 )
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+BLOCK_BYTES = 12 << 20
 LEAST_PARTS = 12
 WORDS_AT_ONCE = 100_000
 #: A letter, a digit and a sign, in place of characters that two Unicode versions see differently.
@@ -122,16 +123,19 @@ class _Block:
         """One row of the texts, and one of the words of each part. Frequent words get small
         numbers, equally frequent ones in the order of their letters: both compress well."""
         places = np.concatenate(self.parts)
-        words = [w.encode() for w in self.numbers.known]
-        uses = np.bincount(places, minlength=len(words)).tolist()
-        order = sorted(range(len(words)), key=lambda i: (-uses[i], words[i]))
-        new = np.empty(len(words), np.int64)
-        new[order] = np.arange(len(words))
+        names = pa.array(list(self.numbers.known), pa.string())
+        self.numbers = self.parts = None
+        uses = np.bincount(places, minlength=len(names))
+        ranking = [("uses", "descending"), ("name", "ascending")]
+        order = pc.sort_indices(pa.table({"name": names, "uses": uses}), sort_keys=ranking)
+        new = np.empty(len(names), np.int64)
+        new[order.to_numpy()] = np.arange(len(names))
         listed: dict[int, list[bytes]] = {}
-        part_of = np.empty(len(words), np.int64)
-        for number, i in enumerate(order):
-            part = part_of[number] = xxhash.xxh64_intdigest(words[i]) % parts
-            listed.setdefault(part, []).append(words[i])
+        part_of = np.empty(len(names), np.int64)
+        for number, word in enumerate(names.take(order).cast(pa.binary())):
+            word = word.as_py()
+            part = part_of[number] = xxhash.xxh64_intdigest(word) % parts
+            listed.setdefault(part, []).append(word)
         first = {"doc_ids": self.doc_ids, "counts": squeezed(np.array(self.counts))}
         first |= {"places": squeezed(new[places]), "part_of": squeezed(part_of)}
         return table(
@@ -170,15 +174,15 @@ def _merged(words: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFram
 
     def run(found: pa.Table) -> pa.Table:
         encode, known, out = _encoding(ranks, pattern).encode_ordinary, {}, []
-        for data in found["words"].to_pylist():
+        for data in found["words"]:
             ids = []
-            for word in unpack(data):
+            for word in unpack(data.as_py()):
                 if word not in known:
-                    known[word] = encode(word.decode())
+                    known[word] = np.array(encode(word.decode()), "<u4").tobytes()
                 ids.append(known[word])
-            flat = np.fromiter(chain.from_iterable(ids), np.int64)
-            lengths = squeezed(np.fromiter(map(len, ids), np.int64, len(ids)))
-            out.append(len(lengths).to_bytes(4, "little") + lengths + squeezed(flat))
+            lengths = squeezed(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+            flat = squeezed(np.frombuffer(b"".join(ids), "<u4"))
+            out.append(len(lengths).to_bytes(4, "little") + lengths + flat)
         columns = [found["block"], found["part"], pa.array(out, pa.binary())]
         return pa.table(columns, schema=schema)
 
