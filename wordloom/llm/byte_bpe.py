@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordloom.llm.blocks import Numbers, expand, of_row, pack, spread, squeezed, unpack
-from wordloom.llm.common import stored, table
+from wordloom.llm.common import delete, new_folder, stored, table
 from wordloom.sizing import BROADCAST_BYTES
 
 _USES = pa.schema(
@@ -222,11 +222,18 @@ def encode(docs: DataFrame, path: str, pattern: str, parts: int | None = None) -
     """
     ranks = read_ranks(path)
     parts = parts or max(LEAST_PARTS, docs.rdd.getNumPartitions())
-    uses = stored(_uses(docs, pattern, parts), "words")
-    words = uses.where(F.col("words").isNotNull()).select("block", "part", "words")
-    texts = uses.where(F.col("words").isNull()).drop("part", "words")
-    ids = _merged(words, ranks, pattern).groupBy("of")
-    return texts.groupBy("block").cogroup(ids).applyInArrow(_together, "doc_id long, ids binary")
+    spark, path = docs.sparkSession, new_folder(docs.sparkSession, "words")
+    kind = F.when(F.col("words").isNull(), "texts").otherwise("words")
+    uses = _uses(docs, pattern, parts).withColumn("kind", kind)
+    uses.write.partitionBy("kind").parquet(path)
+    uses = spark.read.schema(uses.schema).parquet(path)
+    words = uses.where(F.col("kind") == "words").select("block", "part", "words")
+    texts = uses.where(F.col("kind") == "texts").drop("part", "words", "kind")
+    ids = stored(_merged(words, ranks, pattern), "ids")
+    # The words have done their work once their ids are stored.
+    delete(spark, f"{path}/kind=words")
+    together = texts.groupBy("block").cogroup(ids.groupBy("of"))
+    return together.applyInArrow(_together, "doc_id long, ids binary")
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:

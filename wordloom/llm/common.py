@@ -82,11 +82,14 @@ def discard(df: DataFrame) -> None:
     """Delete what ``stored`` wrote, once what follows from it is stored itself, and let Spark
     delete the shuffle files of plans that nothing refers to: it does so when the driver's JVM
     collects its garbage, which on a quiet driver may be long after."""
-    spark = df.sparkSession
     files = df.inputFiles()
     if files:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     gc.collect()
     spark._jvm.System.gc()
 
