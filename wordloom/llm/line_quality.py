@@ -2,9 +2,7 @@
 
 Base figures of a document come from its own text. Then every line is normalised (blanks to
 one space, trimmed, lower case) and hashed, and the distinct documents of a host that hold it
-are counted. Copies of a text are one document, and so are near copies: a document counts as
-its longest normalised line, which copies share and pages that merely carry the same
-boilerplate do not. A line in more than ``max_documents`` documents and in more than
+are counted. Copies of a text on a host are one document. A line in more than ``max_documents`` documents and in more than
 ``max_share`` of the documents of its host is boilerplate. A document is rejected when it
 fails a base rule, or when fewer than ``min_left`` of its words stand outside boilerplate.
 
@@ -98,15 +96,11 @@ def figures(docs: DataFrame) -> DataFrame:
                 (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("words"),
             ),
         )
-        longest = lambda n: F.array_max(
-            F.transform(n, lambda x: F.struct(F.length(x).alias("n"), x.alias("x")))
-        )["x"]
         return let(
             normal,
             lambda n: F.struct(
                 (F.size(n) - distinct).cast("long").alias("n_dup_lines"),
                 each(n).alias("lines"),
-                F.xxhash64(longest(n)).alias("shape"),
             ),
         )
 
@@ -132,10 +126,9 @@ def figures(docs: DataFrame) -> DataFrame:
 
 def boilerplate(rows: DataFrame, max_documents: int, max_share: float) -> DataFrame:
     """``host, line`` of lines above both limits. ``rows``: one per distinct text."""
-    hosts = rows.select("host", "shape").distinct().groupBy("host").agg(
-        F.count(F.lit(1)).alias("documents")
-    )
-    held = rows.select("host", "shape", F.explode("lines.line").alias("line")).distinct()
+    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    lines = F.array_distinct("lines.line")
+    held = rows.select("host", F.explode(lines).alias("line"))
     seen = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
     often = seen.where(F.col("n") > max_documents)
     return often.join(hosts, "host").where(
@@ -154,9 +147,7 @@ def quality(
     """``doc_id, host, key``, the base figures, ``n_left`` (words outside boilerplate),
     ``base_failed`` and ``kept`` for every document."""
     rows = stored(figures(docs), "figures")
-    texts = rows.groupBy("host", "key").agg(
-        F.any_value("shape").alias("shape"), F.any_value("lines").alias("lines")
-    )
+    texts = rows.groupBy("host", "key").agg(F.any_value("lines").alias("lines"))
     texts = stored(texts, "line-hashes")
     often = boilerplate(texts, max_documents, max_share)
     each = texts.select("host", "key", F.inline("lines"))
@@ -182,10 +173,13 @@ def screen(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with their own columns."""
     verdict = quality(docs, **limits)
     gone = verdict.where(~F.col("kept")).select("host", "key").distinct()
-    host, key = F.coalesce("source", F.lit("")), F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-    wide = docs.withColumns({"_host": host, "_key": key})
-    same = (wide["_host"] == gone["host"]) & (wide["_key"] == gone["key"])
-    return wide.join(gone, same, "left_anti").drop("_host", "_key")
+    # The row travels as one column, whatever names its own columns have.
+    wide = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce("source", F.lit("")).alias("host"),
+        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"),
+    )
+    return wide.join(gone, ["host", "key"], "left_anti").select("row.*")
 
 
 #: ``quality`` with its default limits in DuckDB SQL, over documents with unique ids.
@@ -206,24 +200,19 @@ WITH d AS (
 ), repeats AS (
   SELECT doc_id, sum(n)::BIGINT AS n_repeat_words FROM spans GROUP BY doc_id
 ), raw_lines AS (
-  SELECT doc_id, host, unnest(string_split(text, chr(10))) AS raw FROM d
+  SELECT doc_id, host, md5(text) AS copy, unnest(string_split(text, chr(10))) AS raw FROM d
 ), lines AS (
-  SELECT doc_id, host, raw,
+  SELECT doc_id, host, copy, raw,
     lower(trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line
   FROM raw_lines WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')
 ), dups AS (
   SELECT doc_id, count(*) - count(DISTINCT raw) AS n_dup_lines FROM lines GROUP BY doc_id
-), shapes AS (
-  SELECT doc_id, host, arg_max(line, {'n': length(line), 'x': line}) AS shape
-  FROM lines GROUP BY doc_id, host
-), every AS (
-  SELECT d.doc_id, d.host, shape FROM d LEFT JOIN shapes USING (doc_id)
 ), hosts AS (
-  SELECT host, count(DISTINCT coalesce('x' || shape, '')) AS documents FROM every GROUP BY host
+  SELECT host, count(DISTINCT text) AS documents FROM d GROUP BY host
 ), often AS (
-  SELECT lines.host, line FROM lines JOIN shapes USING (doc_id) JOIN hosts ON hosts.host = lines.host
+  SELECT lines.host, line FROM lines JOIN hosts ON hosts.host = lines.host
   GROUP BY lines.host, line, documents
-  HAVING count(DISTINCT shape) > 10 AND count(DISTINCT shape) > documents * 0.005
+  HAVING count(DISTINCT copy) > 10 AND count(DISTINCT copy) > documents * 0.005
 ), removed AS (
   SELECT doc_id, sum(len(regexp_extract_all(line, '[^ ]+')))::BIGINT AS removed
   FROM lines JOIN often USING (host, line) GROUP BY doc_id
