@@ -26,9 +26,10 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Later repeats of runs of three lines or more, or of 50 words or more, go, and documents
     that lose every line."""
     small_batches(spark)
-    cut = line_dedup.dedup_lines(docs, min_run=3, min_words=50)
-    emptied = (F.col("n_deleted") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
-    return cut.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    count = "deleted" + "_" * max(map(len, docs.columns))  # no column of docs is as long
+    cut = line_dedup.dedup_lines(docs, min_run=3, min_words=50, count=count)
+    emptied = (F.col(count) > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    return cut.where(~F.coalesce(emptied, F.lit(False))).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +43,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text share a verdict."""
     small_batches(spark)
     found = decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select(F.col("doc_id").alias("_id"), "key").distinct()
-    wide = docs.withColumn("_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    same = wide["doc_id"].eqNullSafe(gone["_id"]) & (wide["_key"] == gone["key"])
-    return wide.join(gone, same, "left_anti").drop("_key")
+    gone = found.where("contaminated").select(F.col("doc_id").alias("of_id"), "key").distinct()
+    # The row travels as one column, whatever names its own columns have.
+    own = F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("own")
+    wide = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), own)
+    same = wide["id"].eqNullSafe(gone["of_id"]) & (wide["own"] == gone["key"])
+    return wide.join(gone, same, "left_anti").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

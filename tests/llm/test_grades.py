@@ -78,3 +78,12 @@ def test_smallest_tables(spark, frame):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = grades.train(docs, labels.select("doc_id", grades.grade().alias("grade")), 3)
     assert grades.score(docs, model, 2).count() == docs.count()
+
+
+def test_the_bound_holds_with_repeated_ids(spark, frame, monkeypatch):
+    docs = frame([(1, f"text {i}") for i in range(500)] + [(2, "b"), (3, "c"), (4, "d")])
+    ratings = spark.createDataFrame([(1, 0), (1, 0), (2, 1), (3, 2), (4, 1)], "doc_id long, grade int")
+    seen = []
+    monkeypatch.setattr(grades, "fit", lambda got, *rest, **more: seen.append(len(got)))
+    grades.train(docs, ratings, levels=3, max_rows=3)
+    assert seen and seen[0] <= 3

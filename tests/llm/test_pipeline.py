@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from compare import rows_of
 from conftest import SF
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wordloom.llm.common import stored
@@ -87,3 +88,22 @@ def test_odd_rows(spark, frame, odd):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame(odd), SF).columns
         stage(spark, frame(odd), SF).collect()
+
+
+CLASHES = ["n_deleted", "_key", "_host", "_own", "_id", "_cut", "_spans", "_content", "key", "host"]
+CLASHES += ["id", "own", "row", "cut", "spans", "content", "count", "line", "root", "print", "of_id"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_clashing_columns_are_kept(spark, frame, name, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(80)
+    plain = {r["doc_id"]: r["text"] for r in stage(spark, docs, SF).collect()}
+    wide = docs
+    for clash in CLASHES:
+        wide = wide.withColumn(clash, F.concat(F.lit(clash), F.col("doc_id").cast("string")))
+    kept = stage(spark, wide, SF)
+    assert kept.columns == wide.columns
+    rows = kept.collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == plain and rows
+    for r in rows:
+        assert all(r[clash] == f"{clash}{r['doc_id']}" for clash in CLASHES)

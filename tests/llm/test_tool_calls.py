@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from wordloom.llm import tool_calls
 from wordloom.llm.tool_calls import canonical, check, format_conversations, problem
 
 SCHEMAS = {
@@ -111,3 +112,31 @@ def test_spans_of_turns(spark, frame):
 
 def test_empty(spark, frame):
     assert format_conversations(spark.createDataFrame([], COLUMNS), SCHEMAS).collect() == []
+
+
+@pytest.mark.parametrize(
+    "value, schema, fine",
+    [
+        (1.0, {"type": "integer"}, True),
+        (1.5, {"type": "integer"}, False),
+        (True, {"enum": [1]}, False),
+        (1, {"enum": [True, 1.0]}, True),
+        ({"a": [1]}, {"const": {"a": [1.0]}}, True),
+        (None, {"const": 0}, False),
+    ],
+)
+def test_schema_values(value, schema, fine):
+    assert (tool_calls.problem(value, schema) is None) == fine
+
+
+def test_unknown_schema_words_are_refused():
+    for schema in ({"anyOf": []}, {"type": "date"}, {"items": {"not": {}}}, {"properties": {"x": 3}}):
+        with pytest.raises(ValueError):
+            tool_calls.check_schema(schema)
+
+
+def test_half_surrogates_stay_escaped():
+    value = tool_calls.parse('{"b": "\\ud800", "a": "\\ud83d\\ude00"}')
+    text = tool_calls.canonical(value)
+    assert text == '{"a":"😀","b":"\\ud800"}' and text.encode()
+    assert tool_calls.parse(text) == value

@@ -40,10 +40,12 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only where it
-    is unset, as in a local session, a temporary folder takes its place."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset,
+    a local session takes a temporary folder, and a cluster refuses."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
         folder = f"file://{tempfile.mkdtemp(prefix='llm-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

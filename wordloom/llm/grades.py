@@ -176,7 +176,7 @@ def train(
     """Fit on ``ratings`` (``doc_id, grade`` from 0 to ``levels`` - 1)."""
     rated = ratings.where(F.col("grade").isNotNull() & F.col("doc_id").isNotNull())
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(max_rows)
-    chosen = chosen.select("doc_id", F.col("grade").cast("int").alias("grade"))
+    chosen = chosen.select("doc_id", F.col("grade").cast("int").alias("grade")).distinct()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,8 +188,11 @@ def train(
                 values=[v.astype(np.float32) for _, v in found],
             )
 
-    # At most max_rows narrow rows on the small side, and as many feature lists back.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # At most max_rows narrow rows on the small side, and as many feature lists back: of the
+    # texts of one id the one with the smallest hash counts, combined before the shuffle.
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    hashed = F.struct(F.xxhash64("text").alias("hash"), "text")
+    texts = met.groupBy("doc_id", "grade").agg(F.min(hashed)["text"].alias("text"))
     rows = texts.select("grade", "text").mapInArrow(
         each, "grade int, bins array<int>, values array<float>"
     ).toArrow()

@@ -147,11 +147,14 @@ def without(text: str, spans: list[dict]) -> tuple[str, int]:
 
 
 def dedup_lines(
-    docs: DataFrame, min_run: int = MIN_RUN, min_words: int | None = None
+    docs: DataFrame,
+    min_run: int = MIN_RUN,
+    min_words: int | None = None,
+    count: str = "n_deleted",
 ) -> DataFrame:
-    """``docs`` with later repeated runs taken out of ``text``, and ``n_deleted``, the number
-    of deleted lines that were not blank. A run has ``min_run`` lines, or fewer that hold
-    ``min_words`` words together."""
+    """``docs`` with later repeated runs taken out of ``text``, and the number of deleted lines
+    that were not blank as ``count``, in place of a column of that name. A run has ``min_run``
+    lines, or fewer that hold ``min_words`` words together."""
 
     @F.arrow_udf("text string, n long")
     def shorten(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -165,14 +168,19 @@ def dedup_lines(
         )
 
     later = repeated_runs(docs, min_run, min_words).withColumnsRenamed(
-        {"doc_id": "_id", "key": "_key", "spans": "_spans"}
+        {"doc_id": "of_id", "key": "of_key"}
     )
-    same = docs["doc_id"].eqNullSafe(later["_id"]) & (key(docs["text"]) == later["_key"])
-    met = docs.join(later, same, "left").withColumn("_cut", shorten("text", "_spans"))
+    # The row travels as one column, whatever names its own columns have.
+    row = F.struct("*").alias("row")
+    wide = docs.select(row, F.col("doc_id").alias("id"), key(docs["text"]).alias("key"))
+    same = wide["id"].eqNullSafe(later["of_id"]) & (wide["key"] == later["of_key"])
+    met = wide.join(later, same, "left").withColumn("cut", shorten("row.text", "spans"))
     columns = [
-        F.col("_cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns
+        F.col("cut.text").alias("text") if c == "text" else F.col(f"row.`{c}`")
+        for c in docs.columns
+        if c != count
     ]
-    return met.select(*columns, F.col("_cut.n").alias("n_deleted"))
+    return met.select(*columns, F.col("cut.n").alias(count))
 
 
 #: The digest of ``dedup_lines`` by lines alone in DuckDB SQL, over documents with unique ids.

@@ -254,7 +254,8 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     # By the root: components of unrelated texts can share their smallest id, or have only nulls.
     groups = own.join(rooted.select("print", "root"), "print")
     best = groups.groupBy("root").agg(F.min(F.struct("doc_id", "content")).alias("b"))
-    best = best.select(F.col("b.doc_id").alias("_id"), F.col("b.content").alias("_content"))
-    wide = docs.withColumn("_own", content)
-    same = wide["doc_id"].eqNullSafe(best["_id"]) & (wide["_own"] == best["_content"])
-    return wide.join(best, same, "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
+    best = best.select(F.col("b.doc_id").alias("of_id"), F.col("b.content").alias("of_content"))
+    # The row travels as one column, whatever names its own columns have.
+    wide = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), content.alias("own"))
+    same = wide["id"].eqNullSafe(best["of_id"]) & (wide["own"] == best["of_content"])
+    return wide.join(best, same, "left_semi").dropDuplicates(["id", "own"]).select("row.*")

@@ -44,7 +44,38 @@ TYPES = {
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Sorted keys, no blanks; half of a surrogate pair, which no text can hold, stays escaped."""
+    return escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
+
+
+def escaped(text: str) -> str:
+    return LONE.sub(lambda c: f"\\u{ord(c[0]):04x}", text)
+
+
+LONE = re.compile("[\ud800-\udfff]")
+#: The words of JSON Schema that ``problem`` knows, and those that only describe.
+WORDS = {"type", "enum", "const", "properties", "required", "additionalProperties", "items"}
+WORDS |= {"minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "pattern"}
+WORDS |= {"title", "description", "default", "examples", "$schema", "$id", "$comment"}
+
+
+def check_schema(schema: object, at: str = "$") -> None:
+    """Refuse a schema with words or types that ``problem`` does not know."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: not a schema")
+    unknown = set(schema) - WORDS
+    if unknown:
+        raise ValueError(f"{at}: unknown words {sorted(unknown)}")
+    kinds = schema.get("type", [])
+    unknown = set([kinds] if isinstance(kinds, str) else kinds) - set(TYPES)
+    if unknown:
+        raise ValueError(f"{at}: unknown types {sorted(unknown)}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{at}: additionalProperties is true or false")
+    for name, part in schema.get("properties", {}).items():
+        check_schema(part, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
 
 
 def _constant(name: str) -> None:
@@ -56,19 +87,32 @@ def parse(text: str | None) -> object:
     return json.loads(text or "", parse_constant=_constant)
 
 
+def same(a: object, b: object) -> bool:
+    """Equality of JSON values: 1 is 1.0, and neither is true."""
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(a[k], b[k]) for k in a)
+    return isinstance(a, bool) == isinstance(b, bool) and a == b
+
+
 def problem(value: object, schema: dict, at: str = "$") -> str | None:
-    """The first way in which ``value`` breaks ``schema`` (the usual JSON Schema words)."""
+    """The first way in which ``value`` breaks ``schema``, by the words of ``WORDS``."""
     kinds = schema.get("type")
     if kinds is not None:
         kinds = [kinds] if isinstance(kinds, str) else kinds
         number = not isinstance(value, bool)  # to Python a boolean is an integer
+        whole = isinstance(value, float) and value.is_integer()
         fits = any(
-            isinstance(value, TYPES[k]) and (number or k not in ("integer", "number"))
+            (isinstance(value, TYPES[k]) or k == "integer" and whole)
+            and (number or k not in ("integer", "number"))
             for k in kinds
         )
         if not fits:
             return f"{at}: not {' or '.join(kinds)}"
-    if "enum" in schema and value not in schema["enum"]:
+    if "const" in schema and not same(value, schema["const"]):
+        return f"{at}: not the value"
+    if "enum" in schema and not any(same(value, x) for x in schema["enum"]):
         return f"{at}: not among the values"
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -226,7 +270,11 @@ def _numbered(parts: DataFrame) -> DataFrame:
 
 def format_conversations(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """``conv_id, turn, part, position, kind, call_id, status, problem, json`` for every part
-    of every conversation; in ``position`` order the ``json`` lines are the conversation."""
+    of every conversation; in ``position`` order the ``json`` lines are the conversation. A
+    schema with a word that is not in ``WORDS`` is refused before the job."""
+
+    for name, schema in schemas.items():
+        check_schema(schema, name)
 
     @F.arrow_udf("problem string, json string")
     def write(
@@ -245,7 +293,7 @@ def format_conversations(messages: DataFrame, schemas: dict[str, dict]) -> DataF
                 body = {"role": r, "tool_calls": [call]}
             elif k == "result":
                 body = {"role": "tool", "tool_call_id": i, "content": t}
-            problems.append(wrong)
+            problems.append(escaped(wrong))
             lines.append(canonical(body))
         return pa.StructArray.from_arrays(
             [pa.array(problems, pa.string()), pa.array(lines, pa.string())], ["problem", "json"]
