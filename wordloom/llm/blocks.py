@@ -71,10 +71,16 @@ def pack(values: list[bytes]) -> bytes:
     return len(lengths).to_bytes(4, "little") + lengths + body
 
 
-def unpack(data: bytes) -> list[bytes]:
+def opened(data: bytes) -> tuple[np.ndarray, bytes]:
+    """The lengths of a packed list, and its byte strings joined."""
     cut = 4 + int.from_bytes(data[:4], "little")
-    ends = np.cumsum(spread(data[4:cut]), dtype=np.int64).tolist()
     body = zstandard.ZstdDecompressor().decompress(data[cut:])
+    return spread(data[4:cut]).astype(np.int64), body
+
+
+def unpack(data: bytes) -> list[bytes]:
+    lengths, body = opened(data)
+    ends = np.cumsum(lengths).tolist()
     return [body[a:b] for a, b in zip([0, *ends], ends)]
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wordloom.llm.blocks import Numbers, expand, of_row, pack, spread, squeezed, unpack
+from wordloom.llm.blocks import Numbers, expand, of_row, opened, pack, spread, squeezed, unpack
 from wordloom.llm.common import delete, new_folder, stored, table
 from wordloom.sizing import BROADCAST_BYTES
 
@@ -180,9 +180,8 @@ def _merged(words: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFram
                 if word not in known:
                     known[word] = np.array(encode(word.decode()), "<u4").tobytes()
                 ids.append(known[word])
-            lengths = squeezed(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
-            flat = squeezed(np.frombuffer(b"".join(ids), "<u4"))
-            out.append(len(lengths).to_bytes(4, "little") + lengths + flat)
+            # Words in the order of their letters share beginnings, so their ids repeat.
+            out.append(pack(ids))
         columns = [found["block"], found["part"], pa.array(out, pa.binary())]
         return pa.table(columns, schema=schema)
 
@@ -198,10 +197,10 @@ def _together(texts: pa.Table, words: pa.Table) -> pa.Table:
     starts, lengths = np.zeros(len(part_of), np.int64), np.zeros(len(part_of), np.int64)
     pools, held = [], 0
     for part, data in zip(words["part"].to_pylist(), words["ids"].to_pylist()):
-        cut = 4 + int.from_bytes(data[:4], "little")
-        mine, sizes = np.flatnonzero(part_of == part), spread(data[4:cut]).astype(np.int64)
+        mine, (sizes, ids) = np.flatnonzero(part_of == part), opened(data)
+        sizes //= 4
         starts[mine], lengths[mine] = held + np.cumsum(sizes) - sizes, sizes
-        pools.append(spread(data[cut:]))
+        pools.append(np.frombuffer(ids, "<u4"))
         held += len(pools[-1])
     pool = np.concatenate(pools) if pools else np.zeros(0, "<u4")
     out, end = [], 0
