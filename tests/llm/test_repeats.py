@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from conftest import SF
+
 from wordloom.llm import repeats
 
 
@@ -98,3 +100,23 @@ def test_stretches_share_their_gram():
     want = np.r_[np.arange(961), np.arange(1000, 2961)]
     assert covered.tolist() == want.tolist()
     assert size.max() <= 21
+
+
+def test_passages_of_over_fifty_words(spark, frame):
+    """Passages that two documents share go if they have 400 bytes, else they stay."""
+    r = random.Random(21)
+    found = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").limit(60)
+    words = sorted({w for x in found.collect() for w in x["text"].split()})
+    some = lambda n: " ".join(r.choices(words, k=n))
+    rows, shared = [], {}
+    for n in range(50, 91):
+        passage = some(n)
+        texts = [f"{some(12)} <{n}a> {passage} <{n}c>", f"{some(9)} <{n}b> {passage} <{n}d>"]
+        rows += [(2 * n, texts[0]), (2 * n + 1, texts[1])]
+        shared[n] = len(f"> {passage} <{n}".encode())
+    cut = repeats.remove_repeats(frame(rows), length=400).collect()
+    got = {x["doc_id"]: x["n_removed"] for x in cut}
+    long = {n for n, size in shared.items() if size >= 400}
+    assert long and len(long) < len(shared)
+    for n, size in shared.items():
+        assert got[2 * n] == got[2 * n + 1] == (size if n in long else 0)
