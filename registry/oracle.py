@@ -305,8 +305,8 @@ ORACLE: dict[str, str] = {
         SELECT query_id, doc_id, major, least(bm25, 4294967295) AS minor,
         major * 4294967296 + least(bm25, 4294967295) AS weight FROM x JOIN bm USING (query_id, doc_id)""",
     "d2_bm25": f"WITH {Q}, {W}, {TF}, {BM} SELECT query_id, doc_id, bm25 AS weight FROM bm",
-    "d2_bm25_benchmark": f"""WITH {BENCHMARK}, {W}, {TF}, {BM}
-        SELECT query_id, doc_id, bm25 AS weight FROM bm""",
+    "d2_bm25_benchmark": f"""WITH {BENCHMARK}, {W}, {TF}, {BM}, x AS (SELECT query_id, doc_id,
+        bm25 AS weight FROM bm) {_ranked('x', 'weight DESC, doc_id', 100)}""",
     "d3_none": f"WITH {Q}, {W} SELECT query_id, doc_id, 1::BIGINT AS weight FROM w, q WHERE {_any()}",
     "d4_wordcount": f"""WITH {Q}, {W} SELECT query_id, doc_id, {_hits('l')} AS weight
         FROM w, q WHERE {_any()}""",
