@@ -107,3 +107,12 @@ def test_boxes_in_marked_articles(spark, frame):
 def test_empty(spark, frame):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert extract(pages).collect() == []
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "p", "section"])
+def test_deep_markup(tag):
+    deep = "".join(f"<{tag}>" for _ in range(50_000)) + "inner text" + f"</{tag}>" * 50_000
+    page = f"<body><article><p>first</p>{deep}<p>last</p></article><footer>no</footer></body>"
+    text = main_text(page)
+    assert text.split("\n")[0] == "first" and text.split("\n")[-1] == "last"
+    assert "inner text" in text and "no" not in text.split()

@@ -18,6 +18,7 @@ markup is read as browsers do, as far as elements go; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -100,10 +101,16 @@ class Element:
         self.marked = False  # holds or is an element that the page marks as its article
 
 
+#: Elements nested deeper, as only broken pages have them, give their text to the one above.
+DEEPEST = 256
+
+
 def parse(html: str) -> Element:
-    """The elements of a page; missing end tags are supplied."""
+    """The elements of a page; missing end tags are supplied. Text in elements beyond
+    ``DEEPEST`` levels belongs to the element at that level."""
     root = Element("html")
     stack, at, end = [root], 0, len(html)
+    opened = Counter()
     while at < end:
         found = TOKEN.search(html, at)
         if not found:
@@ -119,33 +126,44 @@ def parse(html: str) -> Element:
             continue
         tag = tag.lower()
         if found["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            _close(stack, opened, {tag}, frozenset())
             continue
         if tag in ENDS_PARAGRAPH:
-            _close(stack, {"p"}, PARAGRAPH_SCOPE)
+            _close(stack, opened, {"p"}, PARAGRAPH_SCOPE)
         if tag in CLOSES:
-            _close(stack, *CLOSES[tag])
+            _close(stack, opened, *CLOSES[tag])
         if tag in HEADINGS and stack[-1].tag in HEADINGS:
-            stack.pop()
+            _cut(stack, opened, len(stack) - 1)
         node = Element(tag, found["attrs"])
         if tag in ("html", "body"):  # one of each; repeated ones only add to the first
             node.attrs = ""
-        stack[-1].kids.append(node)
+        if len(stack) > DEEPEST and tag not in RAW and tag not in VOID:
+            node.kids = stack[-1].kids
+        else:
+            stack[-1].kids.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*[^>]*>?", re.I).search(html, at)
             at = close.end() if close else end
         elif tag not in VOID:
             stack.append(node)
+            opened[tag] += 1
     return root
 
 
-def _close(stack: list[Element], tags: set[str], scope: frozenset[str]) -> None:
+def _cut(stack: list[Element], opened: Counter, i: int) -> None:
+    opened.subtract(node.tag for node in stack[i:])
+    del stack[i:]
+
+
+def _close(
+    stack: list[Element], opened: Counter, tags: set[str], scope: frozenset[str]
+) -> None:
+    """Close the innermost open element of ``tags``, unless one of ``scope`` is inside it."""
+    if not any(opened[tag] for tag in tags):
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag in tags:
-            del stack[i:]
+            _cut(stack, opened, i)
             return
         if stack[i].tag in scope:
             return
