@@ -1,10 +1,17 @@
 """Jobs that must stay whole, and tasks that must not grow with the tables."""
 
+import re
+
+import pytest
 from conftest import SF
 from pyspark.sql import functions as F
+from test_plans import plan
 
 from registry import queries as rq
+from wordloom import sizing
+from wordloom.operators import ranking as rk
 from wordloom.operators.matching import match_any
+from wordloom.sources.tokens import field_counts, positions
 
 
 def test_every_match_of_a_benchmark_text_has_its_score(spark):
@@ -15,3 +22,48 @@ def test_every_match_of_a_benchmark_text_has_its_score(spark):
     assert most > 100
     mine = {tuple(r) for r in scored.select("query_id", "doc_id").collect()}
     assert mine == {tuple(r) for r in match_any(docs, items).collect()}
+
+
+def dealt_by(df):
+    """The numbers of tasks that rows are dealt to by key."""
+    return [int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION", plan(df))]
+
+
+JOBS = {
+    "j5_settings_summary": rq.settings_summary,
+    "j1_index_filtered": rq.index_filtered,
+    "j1_settings_per_query": rq.settings_per_query,
+    "d2_bm25_benchmark": rq.bm25_benchmark,
+    "j1_batch_search": rq.batch_search,
+    "j5_search_status": rq.search_status,
+}
+
+
+@pytest.mark.parametrize("name", JOBS)
+def test_more_documents_make_more_tasks_and_the_same_rows(spark, monkeypatch, name):
+    few = JOBS[name](spark, SF)
+    assert set(dealt_by(few)) == {4}
+    monkeypatch.setattr(sizing, "DEALT_ROWS", 3000)
+    many = JOBS[name](spark, SF)
+    # 200 documents, each with 40 queries or more.
+    assert min(dealt_by(many)) >= 5
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+
+
+def test_words_are_counted_per_field(docs):
+    mine = field_counts(docs, marker=True).where("term is not null")
+    words = positions(docs, marker=True).where("term is not null")
+    keys = [*docs.keys, "doc_len", "field_no", "term"]
+    theirs = words.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    rows = {tuple(r) for r in mine.select(*keys, "n").collect()}
+    assert rows == {tuple(r) for r in theirs.collect()} and len(rows) == mine.count()
+
+
+def test_many_queries_of_runs_are_dealt_too(spark, docs, batch, monkeypatch):
+    texts = [f"red fox {w}" for w in "the and a red fox dog no body title empty of".split()] * 2
+    many = batch(*texts)
+    before = rk.rank_proximity(docs, many).collect()
+    monkeypatch.setattr(sizing, "DEALT_ROWS", 20)
+    after = rk.rank_proximity(docs, many)
+    assert min(dealt_by(after)) > 4
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after.collect()))

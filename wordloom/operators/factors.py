@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wordloom.codes import WEIGHT_BOUND
 from wordloom.sources.batch import QueryBatch
-from wordloom.sizing import join_by_term
+from wordloom.sizing import dealt, join_by_term
 from wordloom.sources.corpus import Corpus
-from wordloom.sources.tokens import MARKER, doc_terms, positions
+from wordloom.sources.tokens import MARKER, doc_terms, field_counts, positions
 
 K1 = 1.2
 B = 0.75
@@ -162,6 +162,8 @@ def factors(
         terms = with_idf(batch, _document_counts(stats, batch))
 
     lead = terms.where(F.col("qpos") == F.col("first_qpos"))
+    if runs and batch.queries > FEW_QUERIES:
+        counted = dealt(counted, _rows(corpus, batch), corpus.keys)
     if runs:
         level = join_by_term(counted, lead, batch.small, list(corpus.keys), "left")
         level = level.withColumns(
@@ -208,13 +210,26 @@ def _tf(corpus: Corpus) -> list[Column]:
 
 
 def _word_counts(corpus: Corpus, batch: QueryBatch, carry: Sequence[str]) -> DataFrame:
-    """One row per document and distinct word of any query, and the marker, with counts."""
+    """One row per document and distinct word of any query, and the marker, with counts.
+
+    A document's words are counted in its row and dealt by document, so that all that is
+    grouped by document later stays in its task, which holds a bounded number of documents.
+    """
     keys = list(corpus.keys)
     vocabulary = batch.words(marker=MARKER).select("term").distinct()
-    words = join_by_term(positions(corpus, carry, marker=True), vocabulary, batch.small, keys)
-    return words.groupBy(*keys, *carry, "term").agg(
-        *_tf(corpus), F.max("doc_len").alias("doc_len")
-    )
+    words = join_by_term(field_counts(corpus, carry, marker=True), vocabulary, batch.small, keys)
+    # Grouping what one field has grouped already keeps every column in both uses.
+    sums = [
+        F.sum(F.when(F.col("field_no") == i, F.col("n")).otherwise(0)).alias(f"tf_{i}")
+        for i in range(len(corpus.fields))
+    ]
+    words = dealt(words, _rows(corpus, batch), keys)
+    return words.groupBy(*keys, *carry, "term").agg(*sums, F.max("doc_len").alias("doc_len"))
+
+
+def _rows(corpus: Corpus, batch: QueryBatch) -> int:
+    """About how many rows the words and queries met make at most. Counts the documents."""
+    return corpus.df.count() * batch.rows_per_document
 
 
 def _words_and_alignments(

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows that a task of ``dealt`` gets at most, about, when keys spread evenly.
+DEALT_ROWS = 600_000
 
 
 @dataclass(frozen=True)
@@ -98,6 +100,16 @@ def join_by_term(
     return salted.join(repeated, ["term", "salt"], how).drop("salt")
 
 
+def dealt(df: DataFrame, rows: int, by: Sequence[str]) -> DataFrame:
+    """``df`` dealt out by the columns ``by`` into as many tasks as ``rows``, a bound on its rows
+    or on what becomes of them, asks for. A session's own number of partitions is fixed, and a
+    join by word makes many rows of one; so a task would hold more as the corpus grows."""
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = min(least, spark.sparkContext.defaultParallelism)
+    return df.repartition(max(least, -(-rows // DEALT_ROWS)), *by)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, so that losing an executor does
     not repeat what came before. The folder is the session's ``spark.checkpoint.dir``."""

@@ -12,6 +12,8 @@ from wordloom.sizing import Size
 
 # A bigint holds this many query positions as single bits.
 MASK_BITS = 62
+# Distinct words of a batch that one document is taken to hold, at most.
+MET_WORDS = 256
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,11 @@ class QueryBatch:
         """Each distinct word of each query once."""
         return self.terms.where(F.col("qpos") == F.col("first_qpos"))
 
+    @property
+    def rows_per_document(self) -> int:
+        """About how many rows a document makes at most: one per query, one per word met."""
+        return self.queries + min(self.queries * self.max_len, MET_WORDS)
+
     @property
     def fits_mask(self) -> bool:
         return self.max_len <= MASK_BITS

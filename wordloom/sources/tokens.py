@@ -49,6 +49,42 @@ def positions(
     )
 
 
+def field_counts(corpus: Corpus, carry: Sequence[str] = (), marker: bool = False) -> DataFrame:
+    """Each distinct word of each field once: keys, carried attributes, doc_len, field_no, term
+    and its occurrences ``n``. With ``marker`` every document also has the marker word once.
+
+    A field's words are sorted in their row and cut where the word changes: nothing is grouped.
+    """
+    if isinstance(corpus, TermIndex):
+        return corpus.field_counts(carry, marker)
+    lists = corpus.lists
+    kept = [*corpus.keys, *carry, "doc_len", "field_no"]
+    if len(corpus.fields) == 1:
+        one = lists.withColumns({"field_no": F.lit(0), "list": F.col("words")[0]})
+    else:
+        one = lists.select(*kept[:-1], F.posexplode_outer("words").alias("field_no", "list"))
+    listed = F.col("list")
+    if marker:
+        extra = F.when(F.col("field_no") == 0, F.array(F.lit(MARKER)))
+        listed = F.concat(listed, extra.otherwise(F.array().cast("array<string>")))
+    sorted_lists = one.select(*kept, F.sort_array(listed).alias("list"))
+    changes = F.filter(
+        F.sequence(F.lit(0), F.size("list") - 1),
+        lambda i: (i == 0) | (F.get("list", i) != F.get("list", i - 1)),
+    )
+    starts = F.when(F.size("list") > 0, changes).otherwise(F.array().cast("array<int>"))
+    counted = F.transform(
+        "starts",
+        lambda s, j: F.struct(
+            F.get("list", s).alias("term"),
+            (F.coalesce(F.get("starts", j + 1), F.size("list")) - s).alias("n"),
+        ),
+    )
+    begun = sorted_lists.withColumn("starts", starts)
+    words = begun.select(*kept, F.explode_outer(counted).alias("word"))
+    return words.select(*kept, F.col("word.term").alias("term"), F.col("word.n").alias("n"))
+
+
 def tokens(corpus: Corpus) -> DataFrame:
     """The token table: keys, field name, position in the field, lower-cased word."""
     names = F.array(*[F.lit(f) for f in corpus.fields])
