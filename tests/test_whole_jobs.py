@@ -35,6 +35,7 @@ JOBS = {
     "j1_settings_per_query": rq.settings_per_query,
     "d2_bm25_benchmark": rq.bm25_benchmark,
     "j1_batch_search": rq.batch_search,
+    "c3_phrase_benchmark": rq.phrase_benchmark,
     "j5_search_status": rq.search_status,
 }
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wordloom.sources.batch import QueryBatch
-from wordloom.sizing import join_by_term
+from wordloom.sizing import dealt, join_by_term
 from wordloom.sources.corpus import Corpus
 from wordloom.sources.tokens import doc_terms, positions
 
@@ -52,7 +52,9 @@ def match_phrase(corpus: Corpus, batch: QueryBatch) -> DataFrame:
         (F.col("pos") - F.col("qpos")).alias("anchor"),
         "qlen",
     )
-    found = rows.repartition("query_id", *corpus.keys).groupBy(
+    # By so many tasks that none holds more as the corpus grows.
+    met = corpus.df.count() * batch.rows_per_document
+    found = dealt(rows, met, ["query_id", *corpus.keys]).groupBy(
         "query_id", *corpus.keys, "field_no", "anchor"
     )
     counted = found.agg(F.count(F.lit(1)).alias("n"), F.max("qlen").alias("qlen"))
