@@ -11,6 +11,7 @@ from registry import queries as rq
 from wordloom import sizing
 from wordloom.operators import ranking as rk
 from wordloom.operators.matching import match_any
+from wordloom.sources import load_index, save_index
 from wordloom.sources.tokens import field_counts, positions
 
 
@@ -68,3 +69,20 @@ def test_many_queries_of_runs_are_dealt_too(spark, docs, batch, monkeypatch):
     after = rk.rank_proximity(docs, many)
     assert min(dealt_by(after)) > 4
     assert sorted(map(tuple, before)) == sorted(map(tuple, after.collect()))
+
+
+def test_an_index_reads_its_postings_once_for_its_counts(spark, docs, tmp_path, monkeypatch):
+    """Blocks' rows carry the counts, postings hold arrays beside each other."""
+    path = str(tmp_path / "index")
+    save_index(docs, path, 4)
+    index = load_index(spark, path, docs, 4)
+    assert {"docs", "hits"} <= set(spark.read.parquet(f"{path}/peaks").columns)
+    assert index.postings.schema["slots"].dataType.simpleString() == "array<int>"
+    known = index.statistics.where("term <> ''").select("term", "docs", "hits").collect()
+    words = positions(docs).where("term is not null").groupBy("term")
+    counted = words.agg(F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("hits"))
+    assert sorted(map(tuple, known)) == sorted(map(tuple, counted.collect()))
+    kept = ["doc_id", "field_no", "field_len", "pos", "term", "previous"]
+    mine, theirs = (positions(c, previous=True).where("term is not null").select(kept) for c in (index, docs))
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert order(mine) == order(theirs)
