@@ -11,7 +11,7 @@ from registry import queries as rq
 from wordloom import sizing
 from wordloom.operators import ranking as rk
 from wordloom.operators.matching import match_any
-from wordloom.sources import load_index, save_index
+from wordloom.sources import load_index, save_index, term_index
 from wordloom.sources.tokens import field_counts, positions
 
 
@@ -86,3 +86,28 @@ def test_an_index_reads_its_postings_once_for_its_counts(spark, docs, tmp_path,
     mine, theirs = (positions(c, previous=True).where("term is not null").select(kept) for c in (index, docs))
     order = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert order(mine) == order(theirs)
+
+
+def test_an_index_keeps_each_posting_once_and_no_words(spark, docs, tmp_path):
+    """Its folders, one row per word and block, and the session's settings as they were."""
+    before = spark.conf.get("spark.sql.execution.useObjectHashAggregateExec")
+    path = tmp_path / "index"
+    save_index(docs, str(path), 4)
+    assert sorted(p.name for p in path.iterdir()) == ["documents", "peaks", "statistics"]
+    assert spark.conf.get("spark.sql.execution.useObjectHashAggregateExec") == before
+    blocks = spark.read.parquet(f"{path}/peaks")
+    assert blocks.select("term", "block").distinct().count() == blocks.count()
+    words = positions(docs).where("term is not null")
+    assert blocks.agg(F.sum(F.size("slots"))).first()[0] == words.select("doc_id", "term").distinct().count()
+    assert blocks.agg(F.sum(F.size(F.flatten("slots")))).first()[0] == words.count()
+
+
+def test_more_words_make_more_tasks_of_the_build(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(term_index, "LEAST_WORDS", 1)
+    assert [term_index._tasks(spark, n) for n in (0, 3, 100)] == [1, 3, 4]
+    assert term_index._tasks(spark, 9 * term_index.TASK_WORDS + 1) == 10
+    for name, least in (("one", 1000), ("more", 1)):
+        monkeypatch.setattr(term_index, "LEAST_WORDS", least)
+        save_index(docs, str(tmp_path / name), 4)
+    one, more = (load_index(spark, str(tmp_path / n), docs, 4).postings for n in ("one", "more"))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, more.collect()))
