@@ -9,7 +9,9 @@ from test_plans import plan
 
 from registry import queries as rq
 from wordloom import sizing
+from wordloom.operators import best_blocks
 from wordloom.operators import ranking as rk
+from wordloom.operators.factors import _document_counts, with_idf
 from wordloom.operators.matching import match_any
 from wordloom.sources import load_index, save_index, term_index
 from wordloom.sources.tokens import field_counts, positions
@@ -111,3 +113,18 @@ def test_more_words_make_more_tasks_of_the_build(spark, docs, tmp_path, monkeypa
         save_index(docs, str(tmp_path / name), 4)
     one, more = (load_index(spark, str(tmp_path / n), docs, 4).postings for n in ("one", "more"))
     assert sorted(map(repr, one.collect())) == sorted(map(repr, more.collect()))
+
+
+def test_the_best_of_an_index_move_no_posting_of_a_query(spark, tmp_path):
+    """Words and blocks are dealt once for all queries; scores are summed where a block is."""
+    docs, items = rq.documents(spark, SF), rq.benchmark_queries(spark, SF)
+    save_index(docs, str(tmp_path / "index"))
+    index = load_index(spark, str(tmp_path / "index"), docs).opened(items.terms)
+    terms = with_idf(items, _document_counts(index, items))
+    terms = terms.where("qpos = first_qpos").select("query_id", "term", "idf", "avg_len").localCheckpoint()
+    visits = best_blocks.block_bounds(index, terms, True).select("query_id", "block").localCheckpoint()
+    scored = best_blocks._scored(index, items, terms, visits)
+    moved = [x for x in plan(scored).splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and not [x for x in moved if "query_id" in x]
+    everything = rk.rank_bm25(docs, items).select("query_id", "doc_id", "weight")
+    assert sorted(map(tuple, scored.select(everything.columns).collect())) == sorted(map(tuple, everything.collect()))
